@@ -124,3 +124,106 @@ def messy_label(label: Column, key: Column) -> Column:
         .when(v == 5, F.lit("unknown-ref"))
         .otherwise(label)
     )
+
+
+# ---- the same renderings as DuckDB SQL expressions (for the oracle queries) ----------------------
+def sql_money_text(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(18,2)) AS VARCHAR)"
+
+
+def sql_price_text(value: str, key: str) -> str:
+    base = sql_money_text(value)
+    return (f"CASE ({key}) % 4 WHEN 0 THEN {base} WHEN 1 THEN '$' || {base} "
+            f"WHEN 2 THEN {base} || ' USD' ELSE 'IDR ' || {base} END")
+
+
+def sql_amount_text(value: str, key: str) -> str:
+    cents = f"CAST({value} AS DECIMAL(18,2))"
+    base = f"CAST({cents} AS VARCHAR)"
+    whole = f"CAST(trunc(abs({cents})) AS BIGINT)"
+    frac = f"split_part({base}, '.', 2)"
+    thousands = f"(CAST({whole} // 1000 AS VARCHAR) || ',' || lpad(CAST({whole} % 1000 AS VARCHAR), 3, '0') || '.' || {frac})"
+    signed = f"(CASE WHEN {cents} < 0 THEN '-' || {thousands} ELSE {thousands} END)"
+    v = f"(({key}) % 10)"
+    return (
+        f"CASE WHEN {v} = 0 THEN '$' || {base} "
+        f"WHEN {v} = 1 AND {whole} >= 1000 THEN {signed} "
+        f"WHEN {v} = 2 THEN (CASE WHEN {cents} < 0 THEN '(' || CAST(abs({cents}) AS VARCHAR) || ')' ELSE {base} END) "
+        f"WHEN {v} = 3 THEN 'N/A' WHEN {v} = 4 THEN ' ' WHEN {v} = 5 THEN {base} || 'abc' "
+        f"WHEN {v} = 6 THEN ' ' || {base} || ' ' ELSE {base} END"
+    )
+
+
+def sql_legacy_date_text(ts: str, key: str) -> str:
+    d = f"CAST({ts} AS DATE)"
+    dmy = f"CAST(day({d}) AS VARCHAR) || '/' || CAST(month({d}) AS VARCHAR) || '/'"
+    yy = f"lpad(CAST(year({d}) % 100 AS VARCHAR), 2, '0')"
+    v = f"(({key}) % 9)"
+    return (
+        f"CASE WHEN {v} = 0 THEN {dmy} || CAST(year({d}) AS VARCHAR) WHEN {v} = 1 THEN '31/2/90' "
+        f"WHEN {v} = 2 THEN 'nan' WHEN {v} = 3 THEN ' ' || {dmy} || {yy} || ' ' ELSE {dmy} || {yy} END"
+    )
+
+
+def sql_legacy_date(text: str, max_valid_year: int = 2025) -> str:
+    p = f"CAST(coalesce(try_strptime(trim({text}), '%d/%m/%y'), try_strptime(trim({text}), '%d/%m/%Y')) AS DATE)"
+    return f"(CASE WHEN year({p}) > {max_valid_year} THEN CAST({p} - INTERVAL 100 YEAR AS DATE) ELSE {p} END)"
+
+
+def sql_digit_time_text(ts: str, key: str) -> str:
+    plain = f"CAST(hour({ts}) * 10000 + minute({ts}) * 100 + second({ts}) AS VARCHAR)"
+    v = f"(({key}) % 7)"
+    return (f"CASE WHEN {v} = 0 THEN strftime({ts}, '%H:%M:%S') WHEN {v} = 1 THEN {plain} || '0' "
+            f"WHEN {v} = 2 THEN '12345' || {plain} ELSE {plain} END")
+
+
+def sql_normalize_time(text: str) -> str:
+    digits = f"regexp_replace(trim({text}), '\\D', '', 'g')"
+    padded = f"lpad({digits}, 6, '0')"
+    return (f"(CASE WHEN length({digits}) BETWEEN 1 AND 6 THEN substr({padded}, 1, 2) || ':' || "
+            f"substr({padded}, 3, 2) || ':' || substr({padded}, 5, 2) END)")
+
+
+def sql_gender_code(key: str) -> str:
+    v = f"(({key}) % 5)"
+    return f"CASE WHEN {v} = 0 THEN 'M' WHEN {v} = 1 THEN ' f ' WHEN {v} = 2 THEN 'F' WHEN {v} = 3 THEN 'x' END"
+
+
+def sql_gender_label(text: str) -> str:
+    return f"(CASE upper(trim({text})) WHEN 'M' THEN 'Male' WHEN 'F' THEN 'Female' ELSE 'Other' END)"
+
+
+def sql_iso_date_text(ts: str, key: str) -> str:
+    v = f"(({key}) % 17)"
+    return (f"CASE WHEN {v} = 0 THEN CAST(year({ts}) AS VARCHAR) || '-02-30' WHEN {v} = 1 THEN strftime({ts}, '%d/%m/%Y') "
+            f"WHEN {v} = 2 THEN 'unknown' WHEN {v} = 3 THEN NULL ELSE strftime({ts}, '%Y-%m-%d') END")
+
+
+def sql_messy_label(label: str, key: str) -> str:
+    v = f"(({key}) % 11)"
+    return (f"CASE WHEN {v} = 0 THEN upper({label}) WHEN {v} = 1 THEN '  ' || lower({label}) || ' ' "
+            f"WHEN {v} = 2 THEN '-' WHEN {v} = 3 THEN 'N/A' WHEN {v} = 4 THEN '<NA>' WHEN {v} = 5 THEN 'unknown-ref' "
+            f"ELSE {label} END")
+
+
+SQL_NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def sql_parse_number(text: str) -> str:
+    t = f"trim({text})"
+    return f"(CASE WHEN regexp_full_match({t}, '{SQL_NUMBER_PATTERN}') THEN TRY_CAST({t} AS DOUBLE) END)"
+
+
+def sql_numeric_text(text: str) -> str:
+    t = f"trim(CAST({text} AS VARCHAR))"
+    kept = f"(CASE WHEN {t} IN ('', 'NA', 'N/A', 'NULL', 'None', 'nan') THEN NULL ELSE {t} END)"
+    return f"regexp_replace(regexp_replace({kept}, '[,$]', '', 'g'), '^\\((.*)\\)$', '-\\1')"
+
+
+def sql_clean_number(text: str) -> str:
+    return sql_parse_number(sql_numeric_text(text))
+
+
+def sql_clean_text(text: str) -> str:
+    t = f"trim(CAST({text} AS VARCHAR))"
+    return f"(CASE WHEN lower({t}) IN ('', '-', '—', 'nan', 'none', 'null', '<na>') THEN NULL ELSE {t} END)"

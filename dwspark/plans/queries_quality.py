@@ -1,3 +1,428 @@
-"""Registered profiling and quality-check queries (Q*, F*, P*) with their DuckDB oracles."""
+"""Registered profiling and quality-check queries (Q*, F5, P9) with their DuckDB oracles."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dwspark.operators import checks, profile, validate
+from dwspark.plans import derive
+from dwspark.plans import warehouse as wh
+from dwspark.plans.catalog import register
+from dwspark.plans.driver_schema import DRIVER_COLUMNS, DRIVER_KEYS
+
+ALL = list(DRIVER_COLUMNS)
+
+
+def _q(name: str) -> str:
+    return '"' + name + '"'
+
+
+# Q1 / Q25 ----------------------------------------------------------------------------------------
+@register("q1_table_shapes", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols)} AS column_count FROM {t}"
+    for t, cols in DRIVER_COLUMNS.items()))
+def q1_table_shapes(t):
+    return profile.table_shapes({n: t[n] for n in ALL})
+
+
+@register("q25_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL))
+def q25_row_counts(t):
+    return profile.row_counts({n: t[n] for n in ALL})
+
+
+# Schema metadata; type names differ between engines, so rows-only.
+@register("q2_column_types", None)
+def q2_column_types(t):
+    any_df = next(iter(t.values()))
+    return profile.column_types(any_df.sparkSession, {n: t[n] for n in ALL})
+
+
+# Q3 ----------------------------------------------------------------------------------------------
+UNIQUE_CONFIG = {
+    "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"],
+    "customer": ["c_mktsegment"],
+    "events": ["event_type"],
+    "documents": ["lang", "source"],
+    "conversations": ["role"],
+    "inventory": ["reason"],  # not a driver table: reported as a warning row
+}
+
+
+def _unique_sql() -> str:
+    parts = []
+    for table, cols in UNIQUE_CONFIG.items():
+        if table not in DRIVER_COLUMNS:
+            parts.append(f"SELECT '{table}' AS table_name, NULL AS column_name, "
+                         f"'Table ''{table}'' not found in source database.' AS value, 'warning' AS status")
+            continue
+        for c in cols:
+            parts.append(f"SELECT DISTINCT '{table}' AS table_name, '{c}' AS column_name, trim(CAST({c} AS VARCHAR)) AS value, "
+                         f"'ok' AS status FROM {table} WHERE {c} IS NOT NULL AND trim(CAST({c} AS VARCHAR)) <> ''")
+    return " UNION ALL ".join(parts)
+
+
+@register("q3_unique_values", _unique_sql())
+def q3_unique_values(t):
+    return profile.unique_values({n: t[n] for n in ALL}, UNIQUE_CONFIG)
+
+
+# Q5 / Q6 / Q21 -----------------------------------------------------------------------------------
+def _missing_sql() -> str:
+    parts = []
+    for table, cols in DRIVER_COLUMNS.items():
+        for c, text in cols:
+            blank = (f"count(*) FILTER (WHERE lower(trim({_q(c)})) IN ('', 'na', 'n/a', 'null', 'none', 'nan'))"
+                     if text else "CAST(0 AS BIGINT)")
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+                         f"count(*) FILTER (WHERE {_q(c)} IS NULL) AS missing_count, {blank} AS blank_like_count FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+@register("q5_missing_values", _missing_sql())
+def q5_missing_values(t):
+    return profile.missing_report({n: t[n] for n in ALL})
+
+
+# Q7 / Q8 / Q9 ------------------------------------------------------------------------------------
+PROFILED = ["orders", "lineitem", "customer", "part", "supplier", "events", "documents", "conversations", "labels"]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for table in PROFILED:
+        cols = DRIVER_COLUMNS[table]
+        keys = ", ".join(DRIVER_KEYS[table])
+        nulls = " + ".join(f"count(*) FILTER (WHERE {_q(c)} IS NULL OR trim(CAST({_q(c)} AS VARCHAR)) = '')" for c, _ in cols)
+        parts.append(
+            f"SELECT 'source' AS stage, '{table}' AS dataset_name, count(*) AS row_count, {len(cols)} AS column_count, "
+            f"CAST({nulls} AS BIGINT) AS null_count, "
+            f"(SELECT count(*) FROM (SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1)) AS duplicate_key_count, "
+            f"(SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1)) AS duplicate_rows "
+            f"FROM {table}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("q7_profile", _profile_sql(), headline=True)
+def q7_profile(t):
+    out = profile.profile_many([(n, t[n], DRIVER_KEYS[n]) for n in PROFILED], "source")
+    return out.drop("null_by_column")
+
+
+@register("q8_duplicate_key_groups", """
+SELECT 'lineitem' AS table_name, count(*) AS duplicate_groups, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+UNION ALL
+SELECT 'orders', count(*), CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+""")
+def q8_duplicate_key_groups(t):
+    return profile.duplicate_keys(t["lineitem"], ["l_orderkey", "l_linenumber"]).select(
+        F.lit("lineitem").alias("table_name"), "*"
+    ).unionByName(profile.duplicate_keys(t["orders"], ["o_orderkey"]).select(F.lit("orders").alias("table_name"), "*"))
+
+
+# Q10 ---------------------------------------------------------------------------------------------
+def _stats_sql(table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
+        f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 2) AS missing_pct, "
+        f"count(DISTINCT {c}) AS distinct_count FROM {table}"
+        for c, _ in DRIVER_COLUMNS[table]
+    )
+
+
+@register("q10_column_stats", _stats_sql("lineitem") + " UNION ALL " + _stats_sql("orders"))
+def q10_column_stats(t):
+    return profile.column_stats(t["lineitem"], "lineitem").unionByName(profile.column_stats(t["orders"], "orders"))
+
+
+# Q11 ---------------------------------------------------------------------------------------------
+DESCRIBE = [("lineitem", "l_quantity"), ("lineitem", "l_extendedprice"), ("lineitem", "l_discount"), ("lineitem", "l_tax")]
+
+
+@register("q11_numeric_describe", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 2) AS mean, round(stddev_samp({c}), 2) AS std, "
+    f"round(min({c}), 2) AS min, round(quantile_cont({c}, 0.25), 2) AS p25, round(quantile_cont({c}, 0.5), 2) AS p50, "
+    f"round(quantile_cont({c}, 0.75), 2) AS p75, round(max({c}), 2) AS max FROM {t}"
+    for t, c in DESCRIBE))
+def q11_numeric_describe(t):
+    return profile.numeric_describe(t["lineitem"], [c for _, c in DESCRIBE])
+
+
+# Q12 ---------------------------------------------------------------------------------------------
+TOP_COLUMNS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
+
+
+@register("q12_top_values", " UNION ALL ".join(
+    f"""SELECT column_name, top_value, top_count, distinct_count FROM (
+          SELECT '{c}' AS column_name, value AS top_value, n AS top_count,
+                 count(value) OVER () AS distinct_count,
+                 row_number() OVER (ORDER BY n DESC, value ASC NULLS FIRST) AS r
+          FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n FROM orders GROUP BY 1)) WHERE r = 1"""
+    for c in TOP_COLUMNS))
+def q12_top_values(t):
+    return profile.top_values(t["orders"], TOP_COLUMNS)
+
+
+# Q13 ---------------------------------------------------------------------------------------------
+DATE_CONFIG = {"order_date_text": "%Y-%m-%d", "o_orderdate": "%Y-%m-%d", "o_deliverydate": "%Y-%m-%d"}
+
+
+def _examples_sql(values: str, src: str, where: str, k: int = 5) -> str:
+    return (f"(SELECT coalesce(string_agg(v, '|' ORDER BY v), '') FROM "
+            f"(SELECT DISTINCT {values} AS v FROM {src} WHERE {where} ORDER BY v LIMIT {k}))")
+
+
+def _dates_src_sql() -> str:
+    return f"(SELECT o_orderdate, {derive.sql_iso_date_text('o_orderdate', 'o_orderkey')} AS order_date_text FROM orders) s"
+
+
+def _dates_sql() -> str:
+    src = _dates_src_sql()
+    bad = "order_date_text IS NOT NULL AND try_strptime(trim(order_date_text), '%Y-%m-%d') IS NULL"
+    return f"""
+SELECT 'orders' AS table_name, 'order_date_text' AS column_name,
+       CASE WHEN count(*) FILTER (WHERE {bad}) = 0 THEN 'valid' ELSE 'invalid' END AS status,
+       count(order_date_text) AS total_checked, count(*) FILTER (WHERE {bad}) AS invalid_count,
+       {_examples_sql('trim(order_date_text)', src, bad)} AS invalid_examples,
+       '%Y-%m-%d' AS expected_format, 'format_based' AS validation_mode
+FROM {src}
+UNION ALL
+SELECT 'orders', 'o_orderdate', 'valid', count(o_orderdate), 0, '', '%Y-%m-%d', 'dtype_based' FROM orders
+UNION ALL
+SELECT 'orders', 'o_deliverydate', 'invalid', 0, 0, 'Column ''o_deliverydate'' not found.', '%Y-%m-%d', 'warning'
+"""
+
+
+def _joined(df, cols):
+    for c in cols:
+        df = df.withColumn(c, F.array_join(c, "|"))
+    return df
+
+
+@register("q13_date_validation", _dates_sql())
+def q13_date_validation(t):
+    o = t["orders"].select("o_orderkey", "o_orderdate", derive.iso_date_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("order_date_text"))
+    return _joined(validate.validate_dates(o, "orders", DATE_CONFIG), ["invalid_examples"])
+
+
+# Q14 ---------------------------------------------------------------------------------------------
+def _numeric_src_spark(t):
+    li = t["lineitem"].select(derive.amount_text(F.col("l_extendedprice"), F.col("l_orderkey") + F.col("l_linenumber")).alias("price_text"))
+    cu = t["customer"].select(derive.amount_text(F.col("c_acctbal"), F.col("c_custkey")).alias("balance_text"))
+    return li, cu
+
+
+def _numeric_sql_one(table: str, col: str, src: str) -> str:
+    txt = f"trim(CAST({col} AS VARCHAR))"
+    checked = f"{col} IS NOT NULL AND {txt} <> ''"
+    invalid = f"{checked} AND {derive.sql_parse_number(col)} IS NULL"
+    rec = f"{invalid} AND {derive.sql_clean_number(col)} IS NOT NULL"
+    unrec = f"{invalid} AND {derive.sql_clean_number(col)} IS NULL"
+    return f"""
+SELECT '{table}' AS table_name, '{col}' AS column_name,
+       CASE WHEN count(*) FILTER (WHERE {invalid}) = 0 THEN 'valid' ELSE 'invalid' END AS status,
+       count(*) FILTER (WHERE {checked}) AS total_checked,
+       count(*) FILTER (WHERE {invalid}) AS invalid_count,
+       {_examples_sql(txt, src, invalid)} AS invalid_examples,
+       count(*) FILTER (WHERE {rec}) AS recoverable_after_cleaning_count,
+       {_examples_sql(txt, src, rec)} AS recoverable_examples,
+       count(*) FILTER (WHERE {unrec}) AS unrecoverable_count,
+       {_examples_sql(txt, src, unrec)} AS unrecoverable_examples
+FROM {src}"""
+
+
+NUM_SRC_LI = f"(SELECT {derive.sql_amount_text('l_extendedprice', 'l_orderkey + l_linenumber')} AS price_text FROM lineitem) s"
+NUM_SRC_CU = f"(SELECT {derive.sql_amount_text('c_acctbal', 'c_custkey')} AS balance_text FROM customer) s"
+
+
+@register("q14_numeric_validation", _numeric_sql_one("lineitem", "price_text", NUM_SRC_LI) + " UNION ALL "
+          + _numeric_sql_one("customer", "balance_text", NUM_SRC_CU))
+def q14_numeric_validation(t):
+    li, cu = _numeric_src_spark(t)
+    out = validate.validate_numeric(li, "lineitem", ["price_text"]).unionByName(validate.validate_numeric(cu, "customer", ["balance_text"]))
+    return _joined(out, ["invalid_examples", "recoverable_examples", "unrecoverable_examples"])
+
+
+# Q15 ---------------------------------------------------------------------------------------------
+def _negative_sql_one(table: str, col: str, src: str, allow: bool = False) -> str:
+    num = derive.sql_clean_number(col)
+    prepared = derive.sql_numeric_text(col)
+    status = "'valid'" if allow else f"CASE WHEN count(*) FILTER (WHERE {num} < 0) = 0 THEN 'valid' ELSE 'invalid' END"
+    ex = (f"(SELECT coalesce(string_agg(CAST(CAST(v AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY v), '') FROM "
+          f"(SELECT DISTINCT {num} AS v FROM {src} WHERE {num} < 0 ORDER BY v LIMIT 5))")
+    return f"""
+SELECT '{table}' AS table_name, '{col}' AS column_name, {status} AS status,
+       count({num}) AS total_checked, count(*) FILTER (WHERE {num} < 0) AS negative_count,
+       {ex} AS negative_examples, count({prepared}) - count({num}) AS unparsed_count
+FROM {src}"""
+
+
+@register("q15_negative_validation", _negative_sql_one("customer", "c_acctbal", "customer") + " UNION ALL "
+          + _negative_sql_one("customer_text", "balance_text", NUM_SRC_CU) + " UNION ALL "
+          + _negative_sql_one("supplier", "s_acctbal", "supplier", allow=True))
+def q15_negative_validation(t):
+    _, cu = _numeric_src_spark(t)
+    out = (validate.validate_negative(t["customer"], "customer", ["c_acctbal"])
+           .unionByName(validate.validate_negative(cu, "customer_text", ["balance_text"]))
+           .unionByName(validate.validate_negative(t["supplier"], "supplier", ["s_acctbal"], allow_negative=True)))
+    return out.withColumn("negative_examples", F.array_join(F.transform("negative_examples", lambda x: x.cast("decimal(18,2)").cast("string")), "|"))
+
+
+# Q16 ---------------------------------------------------------------------------------------------
+EXPECTED_VALUES = {
+    "orders": {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM"]},
+    "customer": {"c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]},
+    "events": {"event_type": ["view", "click", "purchase"]},
+}
+
+
+def _unexpected_sql() -> str:
+    parts = []
+    for table, cols in EXPECTED_VALUES.items():
+        for c, allowed in cols.items():
+            lst = ", ".join(f"'{a}'" for a in allowed)
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, trim({c}) AS unexpected_value, count(*) AS occurrences "
+                         f"FROM {table} WHERE {c} IS NOT NULL AND trim({c}) NOT IN ({lst}) GROUP BY 3")
+    return " UNION ALL ".join(parts)
+
+
+@register("q16_unexpected_categorical", _unexpected_sql())
+def q16_unexpected_categorical(t):
+    return validate.unexpected_categorical({n: t[n] for n in EXPECTED_VALUES}, EXPECTED_VALUES)
+
+
+# Q17 / F5 ----------------------------------------------------------------------------------------
+PRODUCT_TEXT_SQL = f"""(SELECT p_partkey,
+  {derive.sql_price_text('p_retailprice', 'p_partkey')} AS unit_price,
+  {derive.sql_price_text('(CASE WHEN p_size <= 2 THEN -1 ELSE 1 END) * ((CAST(round(p_retailprice * 100) AS BIGINT) * (p_partkey % 10 + 11)) // 20) / 100.0', 'p_partkey + 1')} AS cost_price
+  FROM part) p"""
+
+
+@register("q17_price_rules", f"""
+SELECT count(*) FILTER (WHERE u < 0) AS negative_unit_price_count,
+       count(*) FILTER (WHERE c < 0) AS negative_cost_price_count,
+       count(*) FILTER (WHERE c > u) AS cost_greater_than_unit_count
+FROM (SELECT {derive.sql_clean_number('unit_price')} AS u, {derive.sql_clean_number('cost_price')} AS c FROM {PRODUCT_TEXT_SQL})
+""")
+def q17_price_rules(t):
+    return validate.price_rules(wh.products_source(t), "unit_price", "cost_price")
+
+
+@register("f5_offending_products", f"""
+SELECT p_partkey AS product_id, unit_price, cost_price FROM {PRODUCT_TEXT_SQL}
+WHERE coalesce({derive.sql_clean_number('unit_price')} < 0 OR {derive.sql_clean_number('cost_price')} < 0
+      OR {derive.sql_clean_number('cost_price')} > {derive.sql_clean_number('unit_price')}, false)
+""")
+def f5_offending_products(t):
+    from dwspark.functions import clean, rules
+
+    p = wh.products_source(t)
+    return p.where(rules.bad_price(clean.clean_number("unit_price"), clean.clean_number("cost_price"))).select(
+        "product_id", "unit_price", "cost_price")
+
+
+# Q18 ---------------------------------------------------------------------------------------------
+@register("q18_direction_rules", """
+SELECT count(*) FILTER (WHERE reason IN ('Damaged', 'Expired') AND q > 0) AS damaged_or_expired_positive_count,
+       count(*) FILTER (WHERE reason = 'Restock' AND q < 0) AS restock_negative_count
+FROM (SELECT CASE l_returnflag WHEN 'R' THEN 'Restock' WHEN 'A' THEN 'Damaged' ELSE 'Expired' END AS reason,
+             CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE -l_quantity END AS q FROM lineitem)
+""")
+def q18_direction_rules(t):
+    li = t["lineitem"].select(
+        F.when(F.col("l_returnflag") == "R", "Restock").when(F.col("l_returnflag") == "A", "Damaged").otherwise("Expired").alias("reason"),
+        F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(-F.col("l_quantity")).cast("string").alias("quantity_change"),
+    )
+    return validate.direction_rules(li, "reason", "quantity_change")
+
+
+# Q23 ---------------------------------------------------------------------------------------------
+@register("q23_order_reconciliation", """
+SELECT o.o_orderkey, CAST(o.o_totalprice AS DECIMAL(18,2)) AS header_total,
+       CAST(s.t AS DECIMAL(18,2)) AS detail_total, CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) - s.t AS DECIMAL(18,2)) AS difference
+FROM orders o JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS t FROM lineitem GROUP BY 1) s
+  ON s.l_orderkey = o.o_orderkey
+WHERE CAST(o.o_totalprice AS DECIMAL(18,2)) <> s.t
+""")
+def q23_order_reconciliation(t):
+    return checks.reconcile(t["orders"], t["lineitem"], "o_orderkey", "l_orderkey", "o_totalprice", "l_extendedprice")
+
+
+# Q24 / J9 ----------------------------------------------------------------------------------------
+@register("q24_warehouse_checks", """
+WITH d AS (SELECT CAST(strftime(CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE), '%Y%m%d') AS INTEGER) AS date_id
+           FROM (SELECT min(d) lo, max(d) hi FROM (SELECT CAST(o_orderdate AS DATE) d FROM orders
+                                                 UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)))
+SELECT 'fct_order_date_not_in_dim_date' AS check_name,
+       count(*) FILTER (WHERE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM d)) AS failing_count
+FROM orders
+UNION ALL
+SELECT 'fct_inventory_date_not_in_dim_date',
+       count(*) FILTER (WHERE CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM d)) FROM lineitem
+UNION ALL
+SELECT 'dim_customers_duplicate_natural_keys', count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1)
+UNION ALL
+SELECT 'dim_products_duplicate_natural_keys', count(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING count(*) > 1)
+UNION ALL
+SELECT 'orders_as_fact_duplicate_natural_keys', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
+""")
+def q24_warehouse_checks(t):
+    date_dim = wh.dim_date(t)
+    fo = t["orders"].select(F.col("o_orderkey"), wh.clean.date_key("o_orderdate").alias("order_date"))
+    fi = t["lineitem"].select(wh.clean.date_key("l_shipdate").alias("change_date"))
+    return checks.warehouse_checks(
+        {"fct_order": (fo, "order_date"), "fct_inventory": (fi, "change_date")},
+        date_dim,
+        {"dim_customers": (t["customer"], ["c_custkey"]), "dim_products": (t["part"], ["p_partkey"]),
+         "orders_as_fact": (fo, ["o_orderkey"])},
+    )
+
+
+@register("j9_orders_without_lines", """
+SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)
+""")
+def j9_orders_without_lines(t):
+    from dwspark.operators.joins import missing_from
+
+    return missing_from(t["orders"], t["lineitem"], "o_orderkey", "l_orderkey").select("o_orderkey", "o_custkey")
+
+
+# Q4 / Q19 / Q20 / Q22: nested reports and the rule-driven recommendations -------------------------
+def _checks(t):
+    tables = {n: t[n] for n in ALL}
+    missing = profile.missing_report(tables)
+    o = t["orders"].select("o_orderdate", derive.iso_date_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("order_date_text"))
+    dates = validate.validate_dates(o, "orders", DATE_CONFIG)
+    li, cu = _numeric_src_spark(t)
+    nums = validate.validate_numeric(li, "lineitem", ["price_text"]).unionByName(validate.validate_numeric(cu, "customer", ["balance_text"]))
+    negs = validate.validate_negative(t["customer"], "customer", ["c_acctbal"]).unionByName(
+        validate.validate_negative(t["supplier"], "supplier", ["s_acctbal"], allow_negative=True))
+    return missing, dates, nums, negs
+
+
+@register("q20_quality_rollup", None)
+def q20_quality_rollup(t):
+    return validate.quality_rollup(*_checks(t))
+
+
+@register("q19_quality_report", None)
+def q19_quality_report(t):
+    return checks.quality_report(*_checks(t))
+
+
+@register("q4_profiling_report", None)
+def q4_profiling_report(t):
+    tables = {n: t[n] for n in ALL}
+    spark = t["orders"].sparkSession
+    return checks.profiling_report(profile.table_shapes(tables), profile.column_types(spark, tables), profile.unique_values(tables, UNIQUE_CONFIG))
+
+
+@register("q22_recommendations", None)
+def q22_recommendations(t):
+    missing, dates, nums, negs = _checks(t)
+    unexpected = validate.unexpected_categorical({n: t[n] for n in EXPECTED_VALUES}, EXPECTED_VALUES)
+    f = checks.findings_from_checks(missing, dates, nums, negs, unexpected)
+    return checks.recommendations(t["orders"].sparkSession, f)
