@@ -42,14 +42,10 @@ def register(name: str, sql: str | None, headline: bool = False):
 
 def _load() -> None:
     # Import the modules that register queries (kept apart by topic).
-    from dwspark.plans import queries_quality, queries_warehouse  # noqa: F401
-
-    for mod in ("queries_changes", "queries_model", "queries_sources"):
-        try:
-            __import__(f"dwspark.plans.{mod}")
-        except ModuleNotFoundError as e:  # a topic not written yet
-            if mod not in str(e):
-                raise
+    import importlib
+
+    for mod in ("queries_warehouse", "queries_quality", "queries_pipelines", "queries_changes", "queries_model"):
+        importlib.import_module(f"dwspark.plans.{mod}")
 
 
 def queries() -> dict[str, QueryFn]:
