@@ -1,0 +1,54 @@
+"""Registered model queries.
+
+The regression metrics of a formula prediction (A5) have an exact SQL oracle. The train/test split
+uses Spark's xxhash64, and the tree is Spark's own, so those queries are checked on rows only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dwspark.operators import model
+from dwspark.operators.aggregate import regression_metrics
+from dwspark.plans import car_sales
+from dwspark.plans.catalog import register
+
+NUMERIC = ["year", "condition", "odometer", "mmr"]
+CATEGORICAL = ["transmission", "color", "interior", "brand"]
+
+
+@register("a5_regression_metrics", """
+SELECT round(1 - sum((a - p) * (a - p)) / (count(*) * var_pop(a)), 6) AS r2,
+       round(sqrt(sum((a - p) * (a - p)) / count(*)), 6) AS rmse,
+       round(avg(abs(a - p)), 6) AS mae, count(*) AS n
+FROM (SELECT l.l_extendedprice AS a, l.l_quantity * p.p_retailprice AS p
+      FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+""")
+def a5_regression_metrics(t):
+    j = t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_extendedprice").alias("a"), (F.col("l_quantity") * F.col("p_retailprice")).alias("p"))
+    m = regression_metrics(j, "a", "p")
+    return m.select(*[F.round(c, 6).alias(c) for c in ("r2", "rmse", "mae")], "n")
+
+
+def _training_frame(t):
+    loaded = car_sales.transform(car_sales.sales_source(t), car_sales.brands_reference(t), car_sales.states_reference(t)).loaded
+    return loaded.withColumn("brand", F.col("brand_car_id").cast("string"))
+
+
+@register("l6_holdout_predictions", None, headline=True)
+def l6_holdout_predictions(t):
+    res = model.train_and_evaluate(_training_frame(t), "id_sales_nk", NUMERIC, CATEGORICAL, "selling_price")
+    return res.predictions
+
+
+@register("l5_model_metrics", None)
+def l5_model_metrics(t):
+    res = model.train_and_evaluate(_training_frame(t), "id_sales_nk", NUMERIC, CATEGORICAL, "selling_price")
+    return res.metrics
+
+
+@register("l2_hash_split", None)
+def l2_hash_split(t):
+    train, test = model.hash_split(_training_frame(t), "id_sales_nk")
+    return train.select(F.lit("train").alias("side"), "id_sales_nk").unionByName(test.select(F.lit("test").alias("side"), "id_sales_nk"))
