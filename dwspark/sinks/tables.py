@@ -27,15 +27,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 # K1 ----------------------------------------------------------------------------------------------
-def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
-    """Full refresh of a file table: write everything to ``<path>.staging-<id>``, then replace
-    ``path`` with it (a rename). Returns ``path``."""
-    spark = df.sparkSession
+def write_staging(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` to a fresh ``<path>.staging-<id>`` folder and return that folder."""
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staging)
+    return staging
+
+
+def swap_in(spark: SparkSession, staging: str, path: str) -> str:
+    """Replace ``path`` with the committed ``staging`` folder (a rename)."""
     fs, target = _fs(spark, path)
     _, src = _fs(spark, staging)
     if fs.exists(target):
@@ -45,6 +48,17 @@ def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+    """Full refresh of a file table: write everything to a staging folder, then replace ``path``
+    with it, so the old table stays readable until the new one is complete. Returns ``path``."""
+    return swap_in(df.sparkSession, write_staging(df, path, fmt, partition_by), path)
+
+
 def replace_catalog_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Full refresh of a catalog table."""
     df.write.mode("overwrite").format(fmt).saveAsTable(table)
@@ -80,11 +94,18 @@ def load_in_order(tables: Mapping[str, DataFrame], order: Sequence[str], write:
 
 
 # K3 ----------------------------------------------------------------------------------------------
-def verify_counts(expected: Mapping[str, DataFrame], actual: Mapping[str, DataFrame], raise_on_mismatch: bool = True) -> DataFrame:
-    """``(table_name, expected_rows, actual_rows, ok)`` for each table: rows of the frame that was
-    written vs rows read back. Both sides are counted in one job each (a union of counts)."""
+def verify_counts(expected: Mapping[str, DataFrame | int], actual: Mapping[str, DataFrame], raise_on_mismatch: bool = True) -> DataFrame:
+    """``(table_name, expected_rows, actual_rows, ok)`` for each table: rows that were written (a
+    frame or a known count) vs rows read back. Each side is counted in one job (a union of counts)."""
     def counts(frames, col):
-        return union_all(df.agg(F.count(F.lit(1)).alias(col)).select(F.lit(n).alias("table_name"), col) for n, df in frames.items())
+        spark = next(v for v in list(actual.values()) if isinstance(v, DataFrame)).sparkSession
+
+        def one(n, v):
+            if isinstance(v, DataFrame):
+                return v.agg(F.count(F.lit(1)).alias(col)).select(F.lit(n).alias("table_name"), col)
+            return spark.createDataFrame([(n, int(v))], f"table_name string, {col} long")
+
+        return union_all(one(n, v) for n, v in frames.items())
 
     out = counts(expected, "expected_rows").join(counts(actual, "actual_rows"), "table_name", "full_outer").select(
         "table_name", "expected_rows", "actual_rows",
