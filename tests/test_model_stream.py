@@ -1,0 +1,51 @@
+import pytest
+from pyspark.sql import functions as F
+
+from dwspark.functions.rules import required_rules
+from dwspark.operators import model
+from dwspark.plans import car_sales
+from dwspark.streaming.micro_batch import start_quality_stream
+
+
+def test_hash_split_is_stable_and_disjoint(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    train, test = model.hash_split(df, "k")
+    train2, test2 = model.hash_split(df.repartition(7), "k")
+    assert train.count() + test.count() == 2000 and train.join(test, "k").count() == 0
+    assert test.exceptAll(test2).count() == 0 and 300 < test.count() < 500
+
+
+def test_min_rows_guard(spark):
+    with pytest.raises(ValueError):
+        model.require_rows(spark.range(4))
+    model.require_rows(spark.range(5))
+
+
+def test_train_evaluate_score_and_save(spark, tables, tmp):
+    res = car_sales.transform(car_sales.sales_source(tables), car_sales.brands_reference(tables), car_sales.states_reference(tables))
+    data = res.loaded.withColumn("brand", F.col("brand_car_id").cast("string"))
+    out = model.train_and_evaluate(data, "id_sales_nk", ["year", "condition", "odometer", "mmr"], ["transmission", "brand"], "selling_price")
+    m = out.metrics.first()
+    assert m.n > 0 and m.r2 > 0.5 and m.rmse > 0
+    model.save_model(out.model, f"{tmp}/m")
+    loaded = model.load_model(f"{tmp}/m")
+    scored = model.score(loaded, data.limit(10), ["id_sales_nk"])
+    assert scored.count() == 10 and scored.where(F.col("predicted").isNull()).count() == 0
+    model.save_predictions(out.predictions, f"{tmp}/pred", "csv")
+    assert spark.read.option("header", True).csv(f"{tmp}/pred").count() == out.predictions.count()
+
+
+def test_quality_stream_runs_batch_checks(spark, tables, tmp):
+    src = f"{tmp}/in"
+    ev = tables["events"].select("event_id", "user_id", "event_type", "value")
+    ev.where(F.col("event_id") % 2 == 0).write.parquet(f"{src}/part1")
+    stream = spark.readStream.schema(ev.schema).parquet(f"{src}/*")
+    q = start_quality_stream(stream, "events", ["event_id"], required_rules(["event_type"]), f"{tmp}/out", f"{tmp}/ckpt",
+                             trigger={"availableNow": True},
+                             transform=lambda s: s.withColumn("event_type", F.when(F.col("event_type") == "error", None).otherwise(F.col("event_type"))))
+    q.awaitTermination(120)
+    acc = spark.read.parquet(f"{tmp}/out/accepted").count()
+    rej = spark.read.parquet(f"{tmp}/out/rejected").count()
+    assert acc + rej == ev.where(F.col("event_id") % 2 == 0).count() and rej > 0
+    m = spark.read.parquet(f"{tmp}/out/metrics").first()
+    assert m.dataset_name == "events" and m.row_count == acc + rej
