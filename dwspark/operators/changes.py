@@ -1,8 +1,10 @@
 """Snapshot change detection.
 
 A row's payload (all non-key columns, sorted by name, with the previous snapshot's types aligned to
-the current one's) is hashed as ``sha2(to_json(struct(...)), 256)`` with null fields kept, so null,
-absent and the text ``"null"`` all differ (C1).
+the current one's) is rendered as ``to_json(struct(...))`` with null fields kept, so null, absent
+and the text ``"null"`` all differ, and hashed: ``sha2(..., 256)`` for a stored row hash (C1); two
+64-bit xxhash64 values (a 128-bit fingerprint) inside the counting, which keeps it a hash
+aggregation.
 
 Both snapshots are first reduced to one row per key — row count plus an order-independent digest of
 the payload hashes — with a partial aggregation, then full-outer-joined on the key. The
@@ -56,12 +58,21 @@ def align(previous: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def _digests(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    h = with_row_hash(df, keys)
+    """One row per key: row count and an order-independent digest of the payloads.
+
+    The digest is built from two 64-bit hashes of the same JSON payload C1 hashes (a 128-bit
+    fingerprint), folded with XOR and with sums of their 32-bit halves, so every buffer is a fixed
+    width number and Spark keeps the partial aggregation a hash aggregate (a string min/max would
+    force a sort of every map partition)."""
+    payload = sorted(c for c in df.columns if c not in keys)
+    js = F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in payload]), {"ignoreNullFields": "false"})
+    h = df.select(*keys, F.xxhash64(js, F.lit(1)).alias("_h1"), F.xxhash64(js, F.lit(2)).alias("_h2"))
+    low = F.lit(0xFFFFFFFF)
     return h.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(f"_{side}_n"),
         F.struct(
-            F.count(F.lit(1)).alias("n"), F.min(HASH).alias("lo"), F.max(HASH).alias("hi"),
-            F.bit_xor(F.xxhash64(HASH)).alias("x"),
+            F.count(F.lit(1)).alias("n"), F.bit_xor("_h1").alias("x1"), F.bit_xor("_h2").alias("x2"),
+            F.sum(F.shiftright("_h1", 32)).alias("s1"), F.sum(F.col("_h2").bitwiseAND(low)).alias("s2"),
         ).alias(f"_{side}_digest"),
     )
 
