@@ -115,6 +115,17 @@ class AuditLog:
         c = chg.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct(*[c for c in chg.columns if c != "run_id"]))).alias("changes"))
         return run.join(p, "run_id", "left").join(c, "run_id", "left")
 
+    # -- O3: latest-run views ---------------------------------------------------------------------
+    def latest_run_id(self) -> DataFrame:
+        """One row: the run that started last (``max_by``, no sort)."""
+        return self.runs().agg(F.max_by("run_id", "started_at").alias("run_id"))
+
+    def latest_profiles(self) -> DataFrame:
+        return self._read("profiles", "run_id string").join(self.latest_run_id(), "run_id")
+
+    def latest_changes(self) -> DataFrame:
+        return self._read("changes", "run_id string").join(self.latest_run_id(), "run_id")
+
     def export_summary(self, run_id: str, path: str) -> None:
         from dwspark.sinks.reports import write_json_report
 

@@ -179,3 +179,40 @@ def f3_rejected_rows(t):
     r = car_sales.transform(car_sales.sales_source(t), car_sales.brands_reference(t), car_sales.states_reference(t)).rejected
     return r.select("id_sales_nk", "year", "brand_car_id", "id_state", "odometer", "mmr", "selling_price",
                     F.array_join("reject_reasons", ",").alias("reject_reasons"))
+
+
+# ---- the text cleaners on their own (P7, P8, P9) --------------------------------------------------
+@register("p7_legacy_dates", f"""
+SELECT o_orderkey, date_text, {d.sql_legacy_date('date_text')} AS parsed_date
+FROM (SELECT o_orderkey, {d.sql_legacy_date_text('o_orderdate', 'o_orderkey')} AS date_text FROM orders)
+""")
+def p7_legacy_dates(t):
+    from dwspark.functions import clean
+
+    o = t["orders"].select("o_orderkey", d.legacy_date_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("date_text"))
+    return o.select("o_orderkey", "date_text", clean.legacy_date("date_text").alias("parsed_date"))
+
+
+@register("p8_time_normalize", f"""
+SELECT event_id, time_text, {d.sql_normalize_time('time_text')} AS normalized_time
+FROM (SELECT event_id, {d.sql_digit_time_text('ts', 'event_id')} AS time_text FROM events)
+""")
+def p8_time_normalize(t):
+    from dwspark.functions import clean
+
+    e = t["events"].select("event_id", d.digit_time_text(F.col("ts"), F.col("event_id")).alias("time_text"))
+    return e.select("event_id", "time_text", clean.normalize_time("time_text").alias("normalized_time"))
+
+
+@register("p9_numeric_cleanup", f"""
+SELECT l_orderkey, l_linenumber, amount_text, {d.sql_numeric_text('amount_text')} AS cleaned_text,
+       {d.sql_clean_number('amount_text')} AS amount
+FROM (SELECT l_orderkey, l_linenumber, {d.sql_amount_text('l_extendedprice', 'l_orderkey + l_linenumber')} AS amount_text FROM lineitem)
+""")
+def p9_numeric_cleanup(t):
+    from dwspark.functions import clean
+
+    li = t["lineitem"].select("l_orderkey", "l_linenumber",
+                              d.amount_text(F.col("l_extendedprice"), F.col("l_orderkey") + F.col("l_linenumber")).alias("amount_text"))
+    return li.select("l_orderkey", "l_linenumber", "amount_text", clean.numeric_text("amount_text").alias("cleaned_text"),
+                     clean.clean_number("amount_text").alias("amount"))

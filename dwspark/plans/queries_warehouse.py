@@ -128,3 +128,53 @@ FROM days
 """)
 def w7_dim_date(t):
     return wh.dim_date(t)
+
+
+@register("w2_dim_employees", """
+SELECT row_number() OVER (ORDER BY s_suppkey) AS sk_employee_id, s_suppkey AS nk_employee_id, s_name AS employee_name,
+       s_nationkey AS nation_id, CAST(strftime(f.first_ship, '%Y%m%d') AS INTEGER) AS hire_date
+FROM supplier LEFT JOIN (SELECT l_suppkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY 1) f ON f.l_suppkey = s_suppkey
+""")
+def w2_dim_employees(t):
+    return wh.dim_employees(t)
+
+
+@register("j7_order_lines", """
+SELECT o.o_orderkey, o.o_orderdate, l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+""")
+def j7_order_lines(t):
+    from pyspark.sql import functions as F
+
+    o, li = t["orders"], t["lineitem"]
+    return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "inner").select(
+        "o_orderkey", "o_orderdate", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+@register("o2_top_customers", """
+SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue, count(*) AS orders
+FROM orders GROUP BY o_custkey ORDER BY revenue DESC, o_custkey ASC LIMIT 20
+""")
+def o2_top_customers(t):
+    from pyspark.sql import functions as F
+
+    from dwspark.operators.aggregate import top_k
+
+    g = t["orders"].groupBy("o_custkey").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue"),
+        F.count(F.lit(1)).alias("orders"))
+    return top_k(g, [("revenue", False), ("o_custkey", True)], 20)
+
+
+@register("o3_latest_order_per_customer", """
+SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
+       arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS o_totalprice, max(o_orderdate) AS o_orderdate
+FROM orders GROUP BY o_custkey
+""")
+def o3_latest_order_per_customer(t):
+    from pyspark.sql import functions as F
+
+    from dwspark.operators.aggregate import latest_per_group
+
+    o = t["orders"].withColumn("_order", F.struct("o_orderdate", "o_orderkey"))
+    return latest_per_group(o, ["o_custkey"], "_order", ["o_orderkey", "o_totalprice", "o_orderdate"])

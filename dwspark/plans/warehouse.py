@@ -4,6 +4,7 @@ The cafe warehouse of the reference (customers, products, orders + order details
 movements, a date dimension) maps onto the driver tables as:
 
   dim_customers  <- customer         dim_products <- part (+ brand dimension via a name join)
+  dim_employees  <- supplier (hire date = the first day the supplier shipped a line item)
   fct_order      <- orders + lineitem summary      fct_inventory <- lineitem (one movement per line)
   dim_date       <- every day between the first and last order / ship date
 
@@ -42,6 +43,20 @@ def dim_customers(t: Tables) -> DataFrame:
     return with_surrogate_key(c, ["nk_customer_id"], "sk_customer_id")
 
 
+# W2 ----------------------------------------------------------------------------------------------
+def dim_employees(t: Tables) -> DataFrame:
+    """Suppliers as the staff dimension; the hire date is each supplier's first ship date (a partial
+    ``min`` per supplier over lineitem), stored as an int ``YYYYMMDD`` key like the reference."""
+    first = t["lineitem"].groupBy("l_suppkey").agg(F.min("l_shipdate").alias("first_ship"))
+    s = t["supplier"].join(first, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
+        F.col("s_suppkey").alias("nk_employee_id"),
+        F.col("s_name").alias("employee_name"),
+        F.col("s_nationkey").alias("nation_id"),
+        clean.date_key("first_ship").alias("hire_date"),
+    )
+    return with_surrogate_key(s, ["nk_employee_id"], "sk_employee_id")
+
+
 # W4 ----------------------------------------------------------------------------------------------
 def dim_brand(t: Tables) -> DataFrame:
     """Brand dimension (the reference's store-branch dimension, W3): distinct upper-cased brand names

@@ -121,6 +121,8 @@ def test_audit_runs_profiles_changes(spark, tmp):
     audit.export_summary(r3, f"{tmp}/summary")
     assert spark.read.json(f"{tmp}/summary").count() == 1
     assert execution_summary(spark, processed_rows=10, loaded_rows=9).first().loaded_rows == 9
+    assert [r.row_count for r in audit.latest_profiles().collect()] == [90]
+    assert [r.table_name for r in audit.latest_changes().collect()] == ["customers"]
 
 
 def test_catalog_listing_and_text_projection(spark):
