@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dwspark.functions.clean import prepare_model_frame
 from dwspark.operators.aggregate import regression_metrics
+from dwspark.session import checkpoint_dir
 
 # ---- fixed values that must equal the reference's --------------------------------------------
 MAX_DEPTH = 8
@@ -76,6 +77,10 @@ def train_and_evaluate(df: DataFrame, key: str, numeric: Sequence[str], categori
                        test_percent: int = TEST_PERCENT, seed: int = SEED, **tree) -> TrainingResult:
     """L1 prepare, L7 guard, L2 split, L3/L4 fit, L5 evaluate, L6 hold-out predictions."""
     data = prepare_model_frame(df, numeric, categorical, target, keep=[key])
+    # Fitting the indexer, the encoder and the tree each scans the data: write the prepared rows
+    # once to the shared checkpoint folder instead of recomputing their whole lineage per pass.
+    checkpoint_dir(df.sparkSession)
+    data = data.checkpoint(eager=True)
     require_rows(data)
     train, test = hash_split(data, key, test_percent, seed)
     model = build_pipeline(numeric, categorical, target, seed=seed, **tree).fit(train)

@@ -11,7 +11,8 @@ warehouse untouched.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,14 @@ class BankSources:
     marital: DataFrame        # marital_id, value, created_at, updated_at
 
 
+def concurrently(jobs: Mapping[str, Callable[[], object]], workers: int = 8) -> dict[str, object]:
+    """Run independent Spark actions from a thread pool so their jobs share the cluster instead of
+    queueing one after another (each target table is its own job). Returns results by name."""
+    with ThreadPoolExecutor(max_workers=min(workers, max(1, len(jobs)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def transform(src: BankSources, max_valid_year: int = 2025) -> dict[str, DataFrame]:
     return {
         "education_status": bank.lookup_table(src.education, "education_id"),
@@ -67,7 +76,7 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
             ("marital_status", src.marital, ["marital_id"]),
         ], "source")
         targets = transform(src, max_valid_year)
-        staged = {name: tables.write_staging(df, f"{warehouse}/{name}") for name, df in targets.items()}
+        staged = concurrently({n: (lambda n=n, d=d: tables.write_staging(d, f"{warehouse}/{n}")) for n, d in targets.items()})
         new = {name: spark.read.parquet(path) for name, path in staged.items()}
         target_profiles = profile_many([(n, new[n], TARGET_KEYS[n]) for n in LOAD_ORDER], "target")
         previous = {
@@ -77,9 +86,13 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
         }
         changes = change_counts_many([(n, new[n], previous[n], TARGET_KEYS[n]) for n in LOAD_ORDER])
         # Record profiles and changes while both snapshots are still readable.
-        audit.save_profiles(run_id, source_profiles.unionByName(target_profiles))
-        audit.save_changes(run_id, changes)
-        expected = {n: new[n].count() for n in LOAD_ORDER}  # Parquet footers: no data scan
+        jobs = {
+            "profiles": lambda: audit.save_profiles(run_id, source_profiles.unionByName(target_profiles)),
+            "changes": lambda: audit.save_changes(run_id, changes),
+            **{f"count:{n}": (lambda n=n: new[n].count()) for n in LOAD_ORDER},  # Parquet footers: no data scan
+        }
+        done = concurrently(jobs)
+        expected = {n: done[f"count:{n}"] for n in LOAD_ORDER}
         tables.load_in_order(staged, LOAD_ORDER, lambda name, path: tables.swap_in(spark, path, f"{warehouse}/{name}"))
         tables.verify_counts(expected, {n: spark.read.parquet(f"{warehouse}/{n}") for n in LOAD_ORDER})
         audit.mark_succeeded(run_id, time.time() - started)

@@ -36,8 +36,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+# A scan smaller than this is never spread (the shuffle would cost more than it saves).
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread a scan that cannot use the cluster.
+
+    A Parquet file is split by row groups, so a file written as one row group is read by one task
+    however many cores there are, and every per-row expression before the first shuffle runs on
+    that one task. When a scan has fewer splits than the cluster has cores and holds at least
+    ``min_bytes``, a round-robin repartition (filters and column pruning still reach the scan
+    below it) hands the rows to every core. At scale a table has thousands of splits and this is a
+    no-op."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return df.repartition(cores) if size >= min_bytes else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
