@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwspark.session import checkpoint_dir
+from dwspark.session import scratch_path
 
 
 # A6 ----------------------------------------------------------------------------------------------
@@ -45,29 +45,30 @@ def with_surrogate_key(
     window.
 
     Plan: range-partition + sort within partitions; tag each row with its partition position
-    (``monotonically_increasing_id``); checkpoint that to the shared checkpoint folder so a lost
-    executor cannot renumber rows; count rows per partition (one row per partition, so broadcasting
-    the offsets is bounded by the partition count, not the data); add the running offset.
+    (``monotonically_increasing_id``: partition index in the high bits, position in the low bits);
+    write that once as a Parquet table under the shared checkpoint folder, so a lost executor cannot
+    renumber rows and nothing is computed twice; count rows per partition index (one row per
+    partition, so broadcasting the offsets is bounded by the partition count, not the data); add the
+    running offset.
     """
+    spark = df.sparkSession
     order_by = list(order_by)
     tie = [c for c in df.columns if c not in order_by]
     cols = order_by + tie
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_by])
         .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in cols])
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    part = F.shiftright(F.col("_mid"), 33)
-    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_path(spark, "surrogate-key")
+    ranged.write.mode("overwrite").parquet(path)
+    tagged = spark.read.parquet(path).withColumn("_part", F.shiftright(F.col("_mid"), 33))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
-    local = F.col("_mid") - F.shiftleft(F.shiftright(F.col("_mid"), 33), 33)
-    keyed = ranged.join(F.broadcast(offsets), part == F.col("_part"))
-    return keyed.select(
-        (F.col("_off") + local + F.lit(start)).cast("long").alias(name), *[F.col(c) for c in df.columns]
+        F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
     )
+    local = F.col("_mid") - F.shiftleft(F.col("_part"), 33)
+    keyed = tagged.join(F.broadcast(offsets), "_part")
+    return keyed.select((F.col("_off") + local + F.lit(start)).cast("long").alias(name), *[F.col(c) for c in df.columns])
