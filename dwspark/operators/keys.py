@@ -57,7 +57,9 @@ def with_surrogate_key(
     cols = order_by + tie
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
-        df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_by])
+        # Range bounds over the full order (key, then every other column), so the sampled bounds
+        # can split a natural key that holds a large share of the rows.
+        df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in cols])
         .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in cols])
         .withColumn("_mid", F.monotonically_increasing_id())
     )

@@ -123,27 +123,28 @@ def profile(df: DataFrame, dataset_name: str, key_columns: Sequence[str] = (), s
     duplicate_rows, null_by_column`` where a value counts as null when it is null or its text is
     blank after trimming.
 
-    With keys, it is one shuffle: rows are first grouped by key (partial aggregation, so a hot key
-    is one row per task) carrying their null counters, then one global aggregation sums them and
-    counts the groups with more than one row (``duplicate_key_count``; null keys form a group) and
-    the surplus rows beyond the first of each key (``duplicate_rows``)."""
+    Two aggregations, combined by a union and a final one-row aggregate (no join):
+    * every per-column count is one global aggregation — partial per task, no shuffle of rows;
+    * duplicates come from ``groupBy(keys).count()`` over the key columns only (Parquet reads just
+      those), partially aggregated so a key holding a third of the rows is one row per task;
+      ``duplicate_key_count`` counts keys with more than one row (null keys form a group) and
+      ``duplicate_rows`` the rows beyond the first of each such key."""
     cols = df.columns
     blank = [
-        F.count_if(F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "")).alias(f"_n{i}")
+        F.count_if(F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "")).cast("long").alias(f"_n{i}")
         for i, c in enumerate(cols)
     ]
+    none = F.lit(None).cast("long")
+    counts = df.agg(F.count(F.lit(1)).alias("row_count"), *blank).select(
+        "*", none.alias("duplicate_key_count"), none.alias("duplicate_rows"))
     if key_columns:
-        grouped = df.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_rows"), *blank)
-        row = grouped.agg(
-            F.sum("_rows").alias("row_count"),
-            *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(cols))],
+        per_key = df.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_rows"))
+        dups = per_key.agg(
             F.count_if(F.col("_rows") > 1).alias("duplicate_key_count"),
-            F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows") - 1)), F.lit(0)).alias("duplicate_rows"),
-        )
-    else:
-        row = df.agg(F.count(F.lit(1)).alias("row_count"), *blank).select(
-            "*", F.lit(0).cast("long").alias("duplicate_key_count"), F.lit(0).cast("long").alias("duplicate_rows")
-        )
+            F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows") - 1)), F.lit(0)).cast("long").alias("duplicate_rows"),
+        ).select(none.alias("row_count"), *[none.alias(f"_n{i}") for i in range(len(cols))], "duplicate_key_count", "duplicate_rows")
+        counts = counts.unionByName(dups)
+    row = counts.agg(*[F.max(c).alias(c) for c in counts.columns])
     nulls = [F.coalesce(F.col(f"_n{i}"), F.lit(0)).cast("long") for i in range(len(cols))]
     total = nulls[0] if nulls else F.lit(0)
     for n in nulls[1:]:
@@ -154,8 +155,8 @@ def profile(df: DataFrame, dataset_name: str, key_columns: Sequence[str] = (), s
         F.coalesce(F.col("row_count"), F.lit(0)).cast("long").alias("row_count"),
         F.lit(len(cols)).alias("column_count"),
         total.cast("long").alias("null_count"),
-        F.col("duplicate_key_count").cast("long").alias("duplicate_key_count"),
-        F.col("duplicate_rows").cast("long").alias("duplicate_rows"),
+        F.coalesce(F.col("duplicate_key_count"), F.lit(0)).cast("long").alias("duplicate_key_count"),
+        F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_rows"),
         F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*nulls)).alias("null_by_column"),
     )
 

@@ -39,7 +39,11 @@ def _examples(df: DataFrame, specs: Sequence[tuple[str, Column, Column]], k: int
     """``(check, examples)`` with at most ``k`` smallest distinct values per check among rows where
     the condition holds."""
     items = F.array(*[F.when(cond, F.struct(F.lit(name).alias("check"), val.cast(value_type).alias("value"))) for name, val, cond in specs])
-    pairs = df.select(F.inline(F.filter(items, lambda x: x.isNotNull()))).distinct()
+    any_failed = F.coalesce(specs[0][2], F.lit(False))
+    for _, _, cond in specs[1:]:
+        any_failed = any_failed | F.coalesce(cond, F.lit(False))
+    # Clean rows are dropped before any per-row array is built.
+    pairs = df.where(any_failed).select(F.inline(F.filter(items, lambda x: x.isNotNull()))).distinct()
     ranked = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("check").orderBy("value"))).where(F.col("_r") <= k)
     return ranked.groupBy("check").agg(F.array_sort(F.collect_list("value")).alias("examples"))
 

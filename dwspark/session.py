@@ -81,6 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage); "
+                           "intermediate tables must survive the loss of an executor")
+    # Local runs and tests only: a fresh folder on this machine.
     path = tempfile.mkdtemp(prefix="dwspark-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
