@@ -102,7 +102,7 @@ LEFT JOIN nation ON l.l_suppkey % 27 = nation.n_nationkey
 
 CAR_TYPED_SQL = f"""
 WITH src AS ({CAR_SRC_SQL}),
-brands AS (SELECT row_number() OVER (ORDER BY brand_name) AS brand_car_id, brand_name FROM (SELECT DISTINCT p_brand AS brand_name FROM part)),
+brands AS (SELECT CAST(row_number() OVER (ORDER BY brand_name) AS INTEGER) AS brand_car_id, brand_name FROM (SELECT DISTINCT p_brand AS brand_name FROM part)),
 typed AS (
   SELECT coalesce(TRY_CAST(trim(id_sales) AS INTEGER), TRY_CAST(TRY_CAST(trim(id_sales) AS DECIMAL(38,10)) AS INTEGER)) AS id_sales_nk,
          coalesce(TRY_CAST(trim(year) AS INTEGER), TRY_CAST(TRY_CAST(trim(year) AS DECIMAL(38,10)) AS INTEGER)) AS year,
