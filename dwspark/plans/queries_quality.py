@@ -403,7 +403,29 @@ def _checks(t):
     return missing, dates, nums, negs
 
 
-@register("q20_quality_rollup", None)
+def _rollup_sql() -> str:
+    dates = _dates_sql()
+    nums = _numeric_sql_one("lineitem", "price_text", NUM_SRC_LI) + " UNION ALL " + _numeric_sql_one("customer", "balance_text", NUM_SRC_CU)
+    negs = _negative_sql_one("customer", "c_acctbal", "customer") + " UNION ALL " + _negative_sql_one("supplier", "s_acctbal", "supplier", allow=True)
+
+    def invalid(cte: str) -> str:
+        return (f"coalesce((SELECT string_agg(column_name, ', ' ORDER BY column_name) FROM {cte} "
+                f"WHERE {cte}.table_name = m.table_name AND status = 'invalid'), '-')")
+
+    return f"""
+WITH d AS ({dates}), n AS ({nums}), g AS ({negs}), m AS ({_missing_sql()})
+SELECT m.table_name,
+       CAST(sum(missing_count) AS BIGINT) AS total_missing_values,
+       count(*) FILTER (WHERE missing_count > 0) AS columns_with_missing_values,
+       CAST(sum(blank_like_count) AS BIGINT) AS total_blank_like_values,
+       {invalid('d')} AS invalid_date_columns,
+       {invalid('n')} AS invalid_numeric_columns,
+       {invalid('g')} AS invalid_negative_columns
+FROM m GROUP BY m.table_name
+"""
+
+
+@register("q20_quality_rollup", _rollup_sql())
 def q20_quality_rollup(t):
     return validate.quality_rollup(*_checks(t))
 
@@ -420,7 +442,40 @@ def q4_profiling_report(t):
     return checks.profiling_report(profile.table_shapes(tables), profile.column_types(spark, tables), profile.unique_values(tables, UNIQUE_CONFIG))
 
 
-@register("q22_recommendations", None)
+def _sql_text(x) -> str:
+    return "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
+
+
+def _recommendations_sql() -> str:
+    dates = _dates_sql()
+    nums = _numeric_sql_one("lineitem", "price_text", NUM_SRC_LI) + " UNION ALL " + _numeric_sql_one("customer", "balance_text", NUM_SRC_CU)
+    negs = _negative_sql_one("customer", "c_acctbal", "customer") + " UNION ALL " + _negative_sql_one("supplier", "s_acctbal", "supplier", allow=True)
+    rules = ", ".join(
+        f"({_sql_text(r.metric)}, {_sql_text(r.priority)}, {_sql_text(r.finding)}, {_sql_text(r.recommendation)}, "
+        f"{_sql_text(r.table)}, {_sql_text(r.column)}, {float(r.threshold)})"
+        for r in checks.DEFAULT_RULES)
+    a = checks.ALWAYS
+    return f"""
+WITH d AS ({dates}), n AS ({nums}), g AS ({negs}), m AS ({_missing_sql()}), u AS ({_unexpected_sql()}),
+f AS (
+  SELECT table_name, column_name, 'missing_count' AS metric, CAST(missing_count AS BIGINT) AS value FROM m
+  UNION ALL SELECT table_name, column_name, 'date_invalid_count', CAST(invalid_count AS BIGINT) FROM d
+  UNION ALL SELECT table_name, column_name, 'numeric_invalid_count', CAST(invalid_count AS BIGINT) FROM n
+  UNION ALL SELECT table_name, column_name, 'negative_count', CAST(negative_count AS BIGINT) FROM g WHERE status = 'invalid'
+  UNION ALL SELECT table_name, column_name, 'unexpected_value_count', CAST(sum(occurrences) AS BIGINT) FROM u GROUP BY 1, 2
+),
+r(metric, priority, finding, recommendation, r_table, r_column, threshold) AS (VALUES {rules})
+SELECT r.priority, f.table_name, f.column_name,
+       replace(replace(replace(r.finding, '{{table}}', f.table_name), '{{column}}', f.column_name), '{{value}}', CAST(f.value AS VARCHAR)) AS finding,
+       r.recommendation
+FROM f JOIN r ON r.metric = f.metric
+WHERE f.value > r.threshold AND (r.r_table IS NULL OR r.r_table = f.table_name) AND (r.r_column IS NULL OR r.r_column = f.column_name)
+UNION ALL
+SELECT {_sql_text(a.priority)}, NULL, NULL, {_sql_text(a.finding)}, {_sql_text(a.recommendation)}
+"""
+
+
+@register("q22_recommendations", _recommendations_sql())
 def q22_recommendations(t):
     missing, dates, nums, negs = _checks(t)
     unexpected = validate.unexpected_categorical({n: t[n] for n in EXPECTED_VALUES}, EXPECTED_VALUES)
