@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +64,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(path), path)
 
 
-def read_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
+class Tables(Mapping):
+    """The named tables of a folder as DataFrames, each opened on first use (a query that uses
+    two tables does not list or size the other twelve)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_TABLES):
+        self._spark, self._dir, self._names = spark, sf_dir, list(names)
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            self._open[name] = read_table(self._spark, self._dir, name)
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def read_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_TABLES) -> Tables:
     """Every table as a lazy DataFrame (nothing is read until an action)."""
-    return {name: read_table(spark, sf_dir, name) for name in names}
+    return Tables(spark, sf_dir, names)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
