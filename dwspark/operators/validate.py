@@ -159,11 +159,16 @@ def validate_numeric(df: DataFrame | None, table_name: str, columns: Sequence[st
                      F.col(f"_r{i}").alias("recoverable_after_cleaning_count"), F.col(f"_u{i}").alias("unrecoverable_count"))
             for i, c in enumerate(present)
         ])))
-        res = _attach(counts, [
-            ("invalid_examples", _examples(df, ex_invalid, max_examples)),
-            ("recoverable_examples", _examples(df, ex_rec, max_examples)),
-            ("unrecoverable_examples", _examples(df, ex_unrec, max_examples)),
-        ])
+        # One pass collects all three example lists (labelled by kind); the three views below share
+        # that plan, so Spark reuses its exchange instead of scanning the table three more times.
+        kinds = [("invalid", ex_invalid), ("recoverable", ex_rec), ("unrecoverable", ex_unrec)]
+        every = _examples(df, [(f"{kind}\t{c}", val, cond) for kind, specs in kinds for c, val, cond in specs], max_examples)
+        split = every.select(F.split("check", "\t").alias("_k"), "examples")
+
+        def of_kind(kind):
+            return split.where(F.col("_k")[0] == kind).select(F.col("_k")[1].alias("check"), "examples")
+
+        res = _attach(counts, [(f"{kind}_examples", of_kind(kind)) for kind, _ in kinds])
         parts.append(res.select(
             F.lit(table_name).alias("table_name"), F.col("check").alias("column_name"),
             F.when(F.col("invalid_count") == 0, "valid").otherwise("invalid").alias("status"),
