@@ -50,12 +50,15 @@ def spread(df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> DataF
     below it) hands the rows to every core. At scale a table has thousands of splits and this is a
     no-op."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    except Exception:  # a session without RDD/JVM access (e.g. a remote client): leave the scan as is
         return df
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
     return df.repartition(cores) if size >= min_bytes else df
 
 
