@@ -35,15 +35,20 @@ def spark_pattern(fmt: str) -> str:
     return out
 
 
-def _examples(df: DataFrame, specs: Sequence[tuple[str, Column, Column]], k: int, value_type: str = "string") -> DataFrame:
+def _examples(
+    df: DataFrame, specs: Sequence[tuple[str, Column, Column]], k: int, value_type: str = "string", prefilter: bool = True
+) -> DataFrame:
     """``(check, examples)`` with at most ``k`` smallest distinct values per check among rows where
-    the condition holds."""
+    the condition holds. ``prefilter`` drops clean rows before any per-row array is built; turn it
+    off when the conditions read projected columns (the filter would be pushed below the projection
+    and inline every expression a second time)."""
     items = F.array(*[F.when(cond, F.struct(F.lit(name).alias("check"), val.cast(value_type).alias("value"))) for name, val, cond in specs])
-    any_failed = F.coalesce(specs[0][2], F.lit(False))
-    for _, _, cond in specs[1:]:
-        any_failed = any_failed | F.coalesce(cond, F.lit(False))
-    # Clean rows are dropped before any per-row array is built.
-    pairs = df.where(any_failed).select(F.inline(F.filter(items, lambda x: x.isNotNull()))).distinct()
+    if prefilter:
+        any_failed = F.coalesce(specs[0][2], F.lit(False))
+        for _, _, cond in specs[1:]:
+            any_failed = any_failed | F.coalesce(cond, F.lit(False))
+        df = df.where(any_failed)
+    pairs = df.select(F.inline(F.filter(items, lambda x: x.isNotNull()))).distinct()
     ranked = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("check").orderBy("value"))).where(F.col("_r") <= k)
     return ranked.groupBy("check").agg(F.array_sort(F.collect_list("value")).alias("examples"))
 
@@ -141,19 +146,20 @@ def validate_numeric(df: DataFrame | None, table_name: str, columns: Sequence[st
             present.append(c)
     parts = [spark.createDataFrame(warn, schema)] if warn else []
     if present:
-        aggs, ex_invalid, ex_rec, ex_unrec = [], [], [], []
-        for i, c in enumerate(present):
-            text = F.trim(F.col(f"`{c}`").cast("string"))
-            checked = text.isNotNull() & (text != "")
-            invalid = checked & parse_number(text).isNull()
-            recoverable = invalid & clean_number(text).isNotNull()
-            unrecoverable = invalid & clean_number(text).isNull()
-            aggs += [F.count_if(checked).alias(f"_t{i}"), F.count_if(invalid).alias(f"_i{i}"),
-                     F.count_if(recoverable).alias(f"_r{i}"), F.count_if(unrecoverable).alias(f"_u{i}")]
-            ex_invalid.append((c, text, invalid))
-            ex_rec.append((c, text, recoverable))
-            ex_unrec.append((c, text, unrecoverable))
-        row = df.agg(*aggs)
+        # One status code per column (0 not checked, 1 number, 2 recoverable, 3 unrecoverable) is
+        # projected once; counts and examples only compare codes, so the cleaning expressions are
+        # generated once per column instead of once per check (which overflows codegen limits).
+        coded = df.select(*[
+            F.struct(text.alias("v"), F.when(text.isNull() | (text == ""), 0).when(parse_number(text).isNotNull(), 1)
+                     .when(clean_number(text).isNotNull(), 2).otherwise(3).alias("k")).alias(f"_c{i}")
+            for i, text in enumerate(F.trim(F.col(f"`{c}`").cast("string")) for c in present)
+        ])
+        aggs = []
+        for i, _ in enumerate(present):
+            k = F.col(f"_c{i}.k")
+            aggs += [F.count_if(k >= 1).alias(f"_t{i}"), F.count_if(k >= 2).alias(f"_i{i}"),
+                     F.count_if(k == 2).alias(f"_r{i}"), F.count_if(k == 3).alias(f"_u{i}")]
+        row = coded.agg(*aggs)
         counts = row.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("check"), F.col(f"_t{i}").alias("total_checked"), F.col(f"_i{i}").alias("invalid_count"),
                      F.col(f"_r{i}").alias("recoverable_after_cleaning_count"), F.col(f"_u{i}").alias("unrecoverable_count"))
@@ -161,8 +167,9 @@ def validate_numeric(df: DataFrame | None, table_name: str, columns: Sequence[st
         ])))
         # One pass collects all three example lists (labelled by kind); the three views below share
         # that plan, so Spark reuses its exchange instead of scanning the table three more times.
-        kinds = [("invalid", ex_invalid), ("recoverable", ex_rec), ("unrecoverable", ex_unrec)]
-        every = _examples(df, [(f"{kind}\t{c}", val, cond) for kind, specs in kinds for c, val, cond in specs], max_examples)
+        kinds = [("invalid", lambda k: k >= 2), ("recoverable", lambda k: k == 2), ("unrecoverable", lambda k: k == 3)]
+        every = _examples(coded, [(f"{kind}\t{c}", F.col(f"_c{i}.v"), test(F.col(f"_c{i}.k")))
+                                  for kind, test in kinds for i, c in enumerate(present)], max_examples, prefilter=False)
         split = every.select(F.split("check", "\t").alias("_k"), "examples")
 
         def of_kind(kind):
