@@ -130,10 +130,15 @@ def profile(df: DataFrame, dataset_name: str, key_columns: Sequence[str] = (), s
       ``duplicate_key_count`` counts keys with more than one row (null keys form a group) and
       ``duplicate_rows`` the rows beyond the first of each such key."""
     cols = df.columns
-    blank = [
-        F.count_if(F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "")).cast("long").alias(f"_n{i}")
-        for i, c in enumerate(cols)
-    ]
+    # The text of a non-null number, date, timestamp, boolean or nested value is never blank, so
+    # only string and binary columns pay for a cast and a trim.
+    def missing(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+            return c.isNull() | (F.trim(c.cast("string")) == "")
+        return c.isNull()
+
+    blank = [F.count_if(missing(f)).cast("long").alias(f"_n{i}") for i, f in enumerate(df.schema.fields)]
     none = F.lit(None).cast("long")
     counts = df.agg(F.count(F.lit(1)).alias("row_count"), *blank).select(
         "*", none.alias("duplicate_key_count"), none.alias("duplicate_rows"))

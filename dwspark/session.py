@@ -6,11 +6,13 @@ the bench and ``__spark_entry__``.
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # The driver's synthetic tables.
 DRIVER_TABLES = (
@@ -20,7 +22,8 @@ DRIVER_TABLES = (
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dwspark") -> SparkSession:
-    """Local session with AQE on, UI off and a UTC clock (so results compare with DuckDB)."""
+    """Local session with AQE on, UI off, a UTC clock (so results compare with DuckDB) and no Python
+    call-site capture."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -32,6 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("DWSPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Spark 4 records the Python call site of every Column function for error messages, at
+        # several JVM round trips per call; plans with hundreds of expressions spend seconds on it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -40,8 +46,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def spread(df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Spread a scan that cannot use the cluster.
+def _file_facts(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """``(bytes, modification time)`` of a file or folder from file-system metadata (no job); None
+    when the session gives no JVM access (e.g. a remote client)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(p).getLength()), int(fs.getFileStatus(p).getModificationTime())
+    except Exception:
+        return None
+
+
+def _should_spread(spark: SparkSession, df: DataFrame, size: int, min_bytes: int = SPREAD_MIN_BYTES) -> bool:
+    """A scan that cannot use the cluster is spread.
 
     A Parquet file is split by row groups, so a file written as one row group is read by one task
     however many cores there are, and every per-row expression before the first shuffle runs on
@@ -49,22 +67,32 @@ def spread(df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> DataF
     ``min_bytes``, a round-robin repartition (filters and column pruning still reach the scan
     below it) hands the rows to every core. At scale a table has thousands of splits and this is a
     no-op."""
-    spark = df.sparkSession
     try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-    except Exception:  # a session without RDD/JVM access (e.g. a remote client): leave the scan as is
-        return df
-    return df.repartition(cores) if size >= min_bytes else df
+        return size >= min_bytes and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    except Exception:  # no RDD access: leave the scan as is
+        return False
+
+
+# Tables already opened in this process: (path, cores, bytes, mtime) -> (schema JSON, spread?).
+# Opening a Parquet table infers its schema with a Spark job; a table that every query re-opens
+# pays that once. The key holds the file's size and modification time, so a rewritten table is
+# inferred again (a metastore table keeps its schema the same way).
+_OPENED: dict[tuple, tuple[str, bool]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), path)
+    facts = _file_facts(spark, path)
+    key = (path, spark.sparkContext.defaultParallelism, *facts) if facts else None
+    if key in _OPENED:
+        schema_json, spread_it = _OPENED[key]
+        df = spark.read.schema(StructType.fromJson(json.loads(schema_json))).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        spread_it = facts is not None and _should_spread(spark, df, facts[0])
+        if key:
+            _OPENED[key] = (df.schema.json(), spread_it)
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread_it else df
 
 
 class Tables(Mapping):
