@@ -30,8 +30,35 @@ def q25_row_counts(t):
     return profile.row_counts({n: t[n] for n in ALL})
 
 
-# Schema metadata; type names differ between engines, so rows-only.
-@register("q2_column_types", None)
+# Schema metadata. The oracle reads DuckDB's column catalog and spells its type names the
+# way Spark's ``simpleString`` does (arrays element-wise; DECIMAL(p,s) only needs lower case).
+# ---- fixed values: DuckDB type name -> Spark type name ---------------------------------------------
+DUCKDB_TO_SPARK_TYPE = {
+    "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "TINYINT": "tinyint",
+    "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp", "BLOB": "binary",
+}
+# -----------------------------------------------------------------------------------------------------
+
+
+def _spark_type_sql(expr: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DUCKDB_TO_SPARK_TYPE.items())
+    return f"CASE {expr} {cases} ELSE lower({expr}) END"
+
+
+def _column_types_sql() -> str:
+    base = "regexp_replace(data_type, '(\\[\\])+$', '')"
+    depth = "CAST((length(data_type) - length(regexp_replace(data_type, '(\\[\\])+$', ''))) / 2 AS INTEGER)"
+    names = ", ".join(f"'{n}'" for n in ALL)
+    return f"""
+SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name,
+       repeat('array<', {depth}) || {_spark_type_sql(base)} || repeat('>', {depth}) AS data_type,
+       is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name IN ({names})
+"""
+
+
+@register("q2_column_types", _column_types_sql())
 def q2_column_types(t):
     any_df = next(iter(t.values()))
     return profile.column_types(any_df.sparkSession, {n: t[n] for n in ALL})
