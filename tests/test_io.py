@@ -132,3 +132,21 @@ def test_catalog_listing_and_text_projection(spark):
     t = catalog.as_text(spark.createDataFrame([(1, 2.5)], "a int, b double"), renames={"a": "id"})
     assert t.columns == ["id", "b"] and t.first().b == "2.5"
     assert [r.id for r in catalog.sample_rows(spark.range(100), 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_read_table_remembers_schema_until_the_table_is_rewritten(spark, tmp):
+    import time
+
+    from dwspark.session import read_table
+
+    spark.createDataFrame([(1, "a")], "k bigint, v string").write.parquet(f"{tmp}/t.parquet")
+    first = read_table(spark, tmp, "t")
+    tracker = spark.sparkContext.statusTracker()
+    jobs_before = len(tracker.getJobIdsForGroup(None))
+    again = read_table(spark, tmp, "t")
+    assert len(tracker.getJobIdsForGroup(None)) == jobs_before  # no schema-inference job the second time
+    assert again.schema == first.schema and again.collect() == first.collect()
+    time.sleep(1.1)  # file-system timestamps may have one-second resolution
+    spark.createDataFrame([(2, 2.5, "x")], "k bigint, w double, z string").write.mode("overwrite").parquet(f"{tmp}/t.parquet")
+    rewritten = read_table(spark, tmp, "t")
+    assert rewritten.columns == ["k", "w", "z"] and rewritten.collect()[0]["w"] == 2.5
