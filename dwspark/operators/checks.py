@@ -144,7 +144,11 @@ def recommendations(spark: SparkSession, findings: DataFrame, rules: Sequence[Ru
 # Q4 ----------------------------------------------------------------------------------------------
 def profiling_report(shapes: DataFrame, types: DataFrame, uniques: DataFrame | None = None) -> DataFrame:
     """One row per table: ``shape`` (rows, columns), ``data_types`` (column -> type) and
-    ``unique_values`` (column -> sorted distinct values) from Q1, Q2 and Q3."""
+    ``unique_values`` (column -> sorted distinct values) from Q1, Q2 and Q3.
+
+    The report embeds the distinct values of the *configured* categorical columns, so its lists are
+    as long as those columns have categories; a high-cardinality column belongs in Q3's long form
+    (one row per value, fully distributed), not in this document."""
     t = types.groupBy("table_name").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "data_type"))).alias("data_types"))
     out = shapes.select("table_name", F.struct(F.col("row_count").alias("rows"), F.col("column_count").alias("columns")).alias("shape")).join(t, "table_name", "left")
     if uniques is not None:
