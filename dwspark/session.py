@@ -46,19 +46,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def _file_facts(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """``(bytes, modification time)`` of a file or folder from file-system metadata (no job); None
-    when the session gives no JVM access (e.g. a remote client)."""
+def _file_status(spark: SparkSession, path: str):
+    """Hadoop ``FileStatus`` of a path (one metadata call, no job); None without JVM access."""
     try:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength()), int(fs.getFileStatus(p).getModificationTime())
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
     except Exception:
         return None
 
 
-def _should_spread(spark: SparkSession, df: DataFrame, size: int, min_bytes: int = SPREAD_MIN_BYTES) -> bool:
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def _should_spread(spark: SparkSession, df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> bool:
     """A scan that cannot use the cluster is spread.
 
     A Parquet file is split by row groups, so a file written as one row group is read by one task
@@ -66,30 +70,34 @@ def _should_spread(spark: SparkSession, df: DataFrame, size: int, min_bytes: int
     that one task. When a scan has fewer splits than the cluster has cores and holds at least
     ``min_bytes``, a round-robin repartition (filters and column pruning still reach the scan
     below it) hands the rows to every core. At scale a table has thousands of splits and this is a
-    no-op."""
+    no-op (its size is only looked up when the split count is low)."""
     try:
-        return size >= min_bytes and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    except Exception:  # no RDD access: leave the scan as is
+        return df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism and _size(spark, path) >= min_bytes
+    except Exception:  # no RDD/JVM access: leave the scan as is
         return False
 
 
-# Tables already opened in this process: (path, cores, bytes, mtime) -> (schema JSON, spread?).
-# Opening a Parquet table infers its schema with a Spark job; a table that every query re-opens
-# pays that once. The key holds the file's size and modification time, so a rewritten table is
-# inferred again (a metastore table keeps its schema the same way).
+# Single-file tables already opened in this process: (path, cores, bytes, mtime) -> (schema JSON,
+# spread?). Opening a Parquet table infers its schema with a Spark job; a table that every query
+# re-opens pays that once. The key holds the file's size and modification time, so a rewritten file
+# is inferred again (a metastore table keeps its schema the same way). Folder tables are not
+# remembered: object stores give folders no reliable modification time, and one inference job is
+# small next to scanning a large table.
 _OPENED: dict[tuple, tuple[str, bool]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    facts = _file_facts(spark, path)
-    key = (path, spark.sparkContext.defaultParallelism, *facts) if facts else None
+    status = _file_status(spark, path)
+    key = None
+    if status is not None and status.isFile():
+        key = (path, spark.sparkContext.defaultParallelism, int(status.getLen()), int(status.getModificationTime()))
     if key in _OPENED:
         schema_json, spread_it = _OPENED[key]
         df = spark.read.schema(StructType.fromJson(json.loads(schema_json))).parquet(path)
     else:
         df = spark.read.parquet(path)
-        spread_it = facts is not None and _should_spread(spark, df, facts[0])
+        spread_it = _should_spread(spark, df, path)
         if key:
             _OPENED[key] = (df.schema.json(), spread_it)
     return df.repartition(spark.sparkContext.defaultParallelism) if spread_it else df

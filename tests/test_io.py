@@ -137,9 +137,12 @@ def test_catalog_listing_and_text_projection(spark):
 def test_read_table_remembers_schema_until_the_table_is_rewritten(spark, tmp):
     import time
 
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
     from dwspark.session import read_table
 
-    spark.createDataFrame([(1, "a")], "k bigint, v string").write.parquet(f"{tmp}/t.parquet")
+    pq.write_table(pa.table({"k": pa.array([1], pa.int64()), "v": ["a"]}), f"{tmp}/t.parquet")  # one file
     first = read_table(spark, tmp, "t")
     tracker = spark.sparkContext.statusTracker()
     jobs_before = len(tracker.getJobIdsForGroup(None))
@@ -147,6 +150,9 @@ def test_read_table_remembers_schema_until_the_table_is_rewritten(spark, tmp):
     assert len(tracker.getJobIdsForGroup(None)) == jobs_before  # no schema-inference job the second time
     assert again.schema == first.schema and again.collect() == first.collect()
     time.sleep(1.1)  # file-system timestamps may have one-second resolution
-    spark.createDataFrame([(2, 2.5, "x")], "k bigint, w double, z string").write.mode("overwrite").parquet(f"{tmp}/t.parquet")
+    pq.write_table(pa.table({"k": pa.array([2], pa.int64()), "w": [2.5], "z": ["x"]}), f"{tmp}/t.parquet")
     rewritten = read_table(spark, tmp, "t")
     assert rewritten.columns == ["k", "w", "z"] and rewritten.collect()[0]["w"] == 2.5
+    # A folder table (as Spark writes one) is read the ordinary way.
+    spark.createDataFrame([(3, "c")], "k bigint, v string").write.parquet(f"{tmp}/f.parquet")
+    assert read_table(spark, tmp, "f").collect()[0]["v"] == "c"
