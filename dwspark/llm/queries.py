@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwspark.llm import licenses, mixing, quality, shards
+from dwspark.llm import licenses, mixing, neardup, quality, shards
 from dwspark.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def queries() -> dict[str, QueryFn]:
         "op5_quality_rules": lambda s, d: quality.query(read(s, d, "documents")),
         "op8_license_scan": lambda s, d: licenses.scan(read(s, d, "documents")),
         "op9_source_mix": lambda s, d: mixing.query(read(s, d, "documents")),
+        "op10_minhash_hamming": lambda s, d: neardup.link(read(s, d, "documents")),
     }
 
 
