@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwspark.llm import licenses, mixing, neardup, quality, shards, suffix
+from dwspark.llm import decontam, licenses, mixing, neardup, quality, shards, suffix, wrapper
 from dwspark.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -15,8 +15,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     return {
         "op2_hilbert_shards": lambda s, d: shards.query(read(s, d, "documents")),
+        "op4_wrapper_induction": lambda s, d: wrapper.extract(read(s, d, "pages")),
         "op5_quality_rules": lambda s, d: quality.query(read(s, d, "documents")),
         "op6_bwt_repeats": lambda s, d: suffix.query(read(s, d, "documents")),
+        "op7_template_decontam": lambda s, d: decontam.matches(read(s, d, "documents"), read(s, d, "benchmark")),
         "op8_license_scan": lambda s, d: licenses.scan(read(s, d, "documents")),
         "op9_source_mix": lambda s, d: mixing.query(read(s, d, "documents")),
         "op10_minhash_hamming": lambda s, d: neardup.link(read(s, d, "documents")),
