@@ -164,10 +164,9 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep_mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with the input's columns, each as often as the mix uses it. ``doc_id``
-    must be unique here."""
-    uses = mix_documents(docs).select(F.col("doc_id").alias("_id"), "uses").where(F.size("uses") > 0)
-    joined = docs.join(uses, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return joined.withColumn("_use", F.explode("uses")).select(*[docs[c] for c in docs.columns])
-
-
+    """The documents of the mix with the input's columns, each as often as the mix uses it."""
+    # Rows get a number of their own, as ids may repeat; writing it down makes it last.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = save(docs.select(F.monotonically_increasing_id().alias("doc_id"), "source", word_count(F.col("text")).alias("size"), row), "numbered")
+    uses = mix(rows, F.array("source"), F.col("size")).where(F.size("uses") > 0).select("doc_id", "uses")
+    return rows.select("doc_id", "_row").join(uses, "doc_id").select("_row", F.explode("uses")).select("_row.*")

@@ -238,6 +238,13 @@ def link(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, reach: int
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, with the input's columns. ``doc_id`` must be unique here."""
+    """One document of each component, with the input's columns: that of the smallest id."""
     gone = link(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # Rows that repeat an id are copies as well; where there are any, one of them stays.
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
+    ids = save(ids, "repeated-ids")
+    if ids.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col("_id")
+    return kept.join(ids, same, "left_anti").unionByName(kept.join(ids, same, "left_semi").dropDuplicates(["doc_id"]))

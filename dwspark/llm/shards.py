@@ -16,10 +16,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwspark.llm.ranks import running_total
 from dwspark.llm.tables import save
 
 N_SHARDS = 16
@@ -59,7 +58,7 @@ def text_number(c: Column) -> Column:
 def with_curve_index(rows: DataFrame, dims: Sequence[Column], bits: int = BITS, name: str = "curve") -> DataFrame:
     """``rows`` with the Hilbert index of the numeric ``dims``; one aggregate finds their bounds."""
     names = [f"_d{i}" for i in range(len(dims))]
-    table = save(rows.select(*rows.columns, *[d.cast("double").alias(n) for d, n in zip(dims, names)]), "curve")
+    table = rows.select(*rows.columns, *[d.cast("double").alias(n) for d, n in zip(dims, names)])
     bounds = table.agg(*[F.min(n).alias(f"{n}lo") for n in names], *[F.max(n).alias(f"{n}hi") for n in names]).first()
 
     def cell(n: str) -> Column:
@@ -76,35 +75,45 @@ def with_curve_index(rows: DataFrame, dims: Sequence[Column], bits: int = BITS,
     return table.withColumn(name, index(*[cell(n) for n in names])).drop(*names)
 
 
-def _metadata(docs: DataFrame) -> DataFrame:
+def _metadata(docs: DataFrame, *more: Column) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", "lang",
-        (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-
-
-def _cut(ranked: DataFrame, n_shards: int, total: int) -> DataFrame:
-    shard = F.expr(f"(place * {n_shards}) div {max(total, 1)}")
-    ranked = ranked.withColumn("shard", shard.cast("int"))
+        (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *more)
+
+
+def _dims() -> list[Column]:
+    return [text_number(F.col("source")), text_number(F.col("lang")), F.log2("size"), F.col("doc_id")]
+
+
+def _placed(rows: DataFrame, n_shards: int) -> DataFrame:
+    """``rows`` with shard and slot. A range sort fixes each row's partition and position, the written
+    table keeps them, and the partitions' row counts, one row each, give the places before them."""
+    order = ["curve", "doc_id", "size", "text_crc32"]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    table = save(ranged, "sorted").withColumns({"_pid": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = table.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    total = table.count()
+    placed = table.join(F.broadcast(offsets), "_pid").withColumn("_place", F.col("_before") + F.col("_at"))
+    placed = placed.withColumn("shard", F.expr(f"cast((_place * {n_shards}) div {max(total, 1)} as int)"))
     first = F.expr(f"(cast(shard as bigint) * {total} + {n_shards - 1}) div {n_shards}")
-    return ranked.withColumn("slot", F.col("place") - first)
+    return placed.withColumn("slot", F.col("_place") - first).drop("_pid", "_at", "_n", "_before", "_place")
 
 
 def assign(docs: DataFrame, n_shards: int = N_SHARDS, bits: int = BITS) -> DataFrame:
     """doc_id, source, lang, size, text_crc32, curve, shard and slot of every row."""
-    dims = [text_number(F.col("source")), text_number(F.col("lang")), F.log2("size"), F.col("doc_id")]
-    rows = with_curve_index(_metadata(docs), dims, bits).withColumns({"_all": F.lit(""), "_one": F.lit(1).cast("long")})
-    ranked = running_total(rows, "_all", ["curve", "doc_id", "size", "text_crc32"], "_one", "place")
-    return _cut(ranked.drop("_all", "_one"), n_shards, ranked.count()).drop("place")
+    return _placed(with_curve_index(save(_metadata(docs), "metadata"), _dims(), bits), n_shards)
 
 
 def keep_in_shards(docs: DataFrame, n_shards: int = N_SHARDS, bits: int = BITS) -> DataFrame:
-    """The input rows (all columns) with ``_shard`` and ``_slot``, ordered by them within and across
-    the partitions. ``doc_id`` must be unique here, as it joins the places to the texts."""
-    places = assign(docs, n_shards, bits).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = docs.join(places, docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))).drop("_id")
-    return joined.repartitionByRange(n, "_shard", "_slot").sortWithinPartitions("_shard", "_slot")
+    """The input rows (all columns) with ``_shard`` and ``_slot``, sorted by them in each file of the
+    table that holds them."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    placed = _placed(with_curve_index(_metadata(docs, row), _dims(), bits), n_shards)
+    return placed.select("_row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, bits: int = BITS) -> None:
