@@ -3,8 +3,9 @@
 Documents are aggregated by membership pattern (the set of sources they belong to). Each pattern offers
 its words once at a low cost and once more at a higher one (convex repetition costs); each source asks
 for its target. The flow of least cost routes pattern words to source quotas, and each pattern's flow
-selects documents in a seeded order, whole documents only, so that the selected words are within half a
-document of the flow.
+selects documents in a seeded order, whole documents only. Documents above the pattern's mean size come first,
+the smaller ones fill what is missing, so that the words taken miss the flow by half a mean document at
+most (unless the smaller ones are too few to make up for it).
 
 The driver holds one row a pattern, at most ``max_patterns`` (a checked bound, more is an error), never
 documents. A pattern with a third of all rows is spread over many tasks by the seeded order.
@@ -110,15 +111,15 @@ def mix(
     spark = docs.sparkSession
     rows = save(docs.select("doc_id", F.sort_array(F.array_distinct(members)).alias("members"), size.cast("long").alias("size")), "sizes")
     rows = rows.withColumn("pattern", F.to_json("members"))
-    found = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(max_patterns + 1).collect()
+    found = rows.groupBy("pattern").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(max_patterns + 1).collect()
     if len(found) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
-    found = sorted((r["pattern"], r["words"]) for r in found)
-    sets = [json.loads(pattern) for pattern, _ in found]
+    found = sorted((r["pattern"], r["words"], r["words"] // r["n"]) for r in found)
+    sets = [json.loads(pattern) for pattern, _, _ in found]
     names = sorted({x for m in sets for x in m}, key=lambda x: (x is None, x or ""))
     place = {x: i for i, x in enumerate(names)}
     member_of = [sorted(place[x] for x in m) for m in sets]
-    supply = [words for _, words in found]
+    supply = [words for _, words, _ in found]
     sizes = [0] * len(names)
     for words, m in zip(supply, member_of):
         for j in m:
@@ -126,26 +127,43 @@ def mix(
     want = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], sum(supply) * share_percent / 100, max_uses)
     flow = route(supply, member_of, [round(t) for t in want], [2 * k + 1 for k in range(max_uses)])
 
-    plan = []
-    for (pattern, words), m, f in zip(found, member_of, flow):
-        at, parts = 0, []
-        for j in sorted(f):
-            parts.append((names[j], at, at + f[j]))
-            at += f[j]
-        plan.append((pattern, words, sizes[m[0]] if m else 0, want[m[0]] if m else 0.0, parts))
-    plan_df = spark.createDataFrame(
-        plan, "pattern string, _words long, source_size long, target double, _parts array<struct<source:string,lo:long,hi:long>>")
-    ordered = running_total(rows.withColumn("_seeded", F.xxhash64(F.lit(seed), "doc_id")), "pattern", ["_seeded", "doc_id", "size"], "size", "_before")
-    # At most max_patterns rows are broadcast.
-    joined = ordered.join(F.broadcast(plan_df), "pattern")
-    # Use k of a document lies at k * words + before; the part that holds its middle takes it.
-    uses = F.transform(
-        F.sequence(F.lit(0), F.lit(max_uses - 1)),
-        lambda k: F.filter("_parts", lambda x: (
-            ((k * F.col("_words") + F.col("_before")) * 2 + F.col("size") >= x["lo"] * 2)
-            & ((k * F.col("_words") + F.col("_before")) * 2 + F.col("size") < x["hi"] * 2) & (F.col("size") > 0))))
-    joined = joined.withColumn("uses", F.transform(F.flatten(uses), lambda x: x["source"]))
-    return joined.select("doc_id", "members", "size", "uses", (F.size("uses") * F.col("size")).alias("taken"), "source_size", "target")
+    # Documents above their pattern's mean size are selected first, for their share of the flow; the
+    # smaller ones then make up for the words by which whole documents missed it.
+    about = spark.createDataFrame(
+        [(pattern, mean, sizes[m[0]] if m else 0, want[m[0]] if m else 0.0) for (pattern, _, mean), m in zip(found, member_of)],
+        "pattern string, _mean long, source_size long, target double")
+    # At most max_patterns rows are broadcast, here and below.
+    rows = rows.join(F.broadcast(about), "pattern").withColumn("_large", F.col("size") > F.col("_mean"))
+    rows = rows.withColumn("_stratum", F.concat(F.when(F.col("_large"), "L").otherwise("S"), "pattern")).withColumn("_seeded", F.xxhash64(F.lit(seed), "doc_id"))
+    ordered = running_total(rows, "_stratum", ["_seeded", "doc_id", "size"], "size", "_before")
+    large_words = {r["pattern"]: r["words"] for r in rows.where("_large").groupBy("pattern").agg(F.sum("size").alias("words")).collect()}
+
+    def used(part: DataFrame, plan: list[tuple[str, int, dict[int, int]]]) -> DataFrame:
+        """Use k of a document lies at k * words + before; the source whose range holds its middle takes
+        it. plan: pattern, its words, the words that each source takes, one range after the other."""
+        table = []
+        for pattern, words, taken in plan:
+            at, ranges = 0, []
+            for j in sorted(taken):
+                ranges.append((names[j], at, at + max(0, taken[j])))
+                at += max(0, taken[j])
+            table.append((pattern, words, ranges))
+        plan_df = spark.createDataFrame(table, "pattern string, _words long, _ranges array<struct<source:string,lo:long,hi:long>>")
+        joined = part.join(F.broadcast(plan_df), "pattern")
+        middle = lambda k: (k * F.col("_words") + F.col("_before")) * 2 + F.col("size")
+        uses = F.transform(F.sequence(F.lit(0), F.lit(max_uses - 1)), lambda k: F.filter(
+            "_ranges", lambda x: (middle(k) >= x["lo"] * 2) & (middle(k) < x["hi"] * 2) & (F.col("size") > 0)))
+        return joined.withColumn("uses", F.transform(F.flatten(uses), lambda x: x["source"])).drop("_words", "_ranges")
+
+    share = [(pattern, large_words.get(pattern, 0), {j: v * large_words.get(pattern, 0) // max(words, 1) for j, v in f.items()})
+             for (pattern, words, _), f in zip(found, flow)]
+    large = used(ordered.where("_large"), share)
+    got = {(r["pattern"], r["source"]): r["words"] for r in large.select("pattern", "size", F.explode("uses").alias("source"))
+           .groupBy("pattern", "source").agg(F.sum("size").alias("words")).collect()}
+    rest = [(pattern, words - large_words.get(pattern, 0), {j: v - got.get((pattern, names[j]), 0) for j, v in f.items()})
+            for (pattern, words, _), f in zip(found, flow)]
+    out = large.unionByName(used(ordered.where(~F.col("_large")), rest))
+    return out.select("doc_id", "members", "size", "uses", (F.size("uses") * F.col("size")).alias("taken"), "source_size", "target")
 
 
 def word_count(text: Column) -> Column:

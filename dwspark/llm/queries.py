@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwspark.llm import decontam, langid, licenses, mixing, neardup, quality, shards, suffix, wrapper
+from dwspark.llm import chat, decontam, langid, licenses, mixing, neardup, quality, shards, suffix, wrapper
 from dwspark.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "op1_tool_calls": lambda s, d: chat.query(read(s, d, "conversations")),
         "op2_hilbert_shards": lambda s, d: shards.query(read(s, d, "documents")),
         "op3_language_fusion": lambda s, d: langid.classify(read(s, d, "pages"), read(s, d, "documents")),
         "op4_wrapper_induction": lambda s, d: wrapper.extract(read(s, d, "pages")),
