@@ -118,9 +118,12 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[str, .
     base = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     failed = F.array_compact(F.array(*[F.when(~r.spark(), F.lit(r.name)) for r in rules])) if rules else F.array().cast("array<string>")
     judged = counts.select(*held_names, *COUNTS, base.alias("base_failed"), failed.alias("failed_rules"))
+    # A filter on the verdict must not be pushed below the steps above: inside their lambdas it would
+    # split the whole text again for every word. A row number, which is never negative, pins it here.
+    pinned = F.monotonically_increasing_id() >= 0
     return judged.select(
         *[F.col(h).alias(c) for h, c in zip(held_names, keep)], *COUNTS, "base_failed", "failed_rules",
-        (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"),
+        (~F.col("base_failed") & (F.size("failed_rules") == 0) & pinned).alias("kept"),
     )
 
 
@@ -149,9 +152,11 @@ WITH w AS (
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM {docs} d
 ), g AS (
-  SELECT rid, unnest(range(0, len(words) - 2)) AS i, words FROM w WHERE len(words) >= 3
+  SELECT rid, unnest(range(0, len(words) - 2)) AS i,
+    unnest(list_transform(range(1, len(words) - 1), lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2])) AS gram
+  FROM w WHERE len(words) >= 3
 ), t AS (
-  SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i + 1], words[i + 2], words[i + 3]) AS n FROM g
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g
 ), r AS (
   SELECT rid, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM t WHERE n > 1) GROUP BY rid
