@@ -13,8 +13,9 @@ only runs whose minimiser occurs again can hold a repeat.
   common prefix is l; it stops at ``length``, and what is not separated by then is repeated.
 * A minimiser with more than ``group_limit`` different runs would not fit one task for sure. Its runs
   are cut at fixed offsets from the minimiser into blocks of 32 strings, filed under the bytes that
-  all strings of a block share; strings of blocks met again are compared by hash, each counted with a
-  partial aggregate. That is exact as well.
+  all strings of a block share. Equal blocks settle each other; different ones with the same shared
+  bytes are compared string by string, by hash, each counted with a partial aggregate. That is exact
+  as well.
 
 Defined results: a null or empty text has 0 bytes and nothing removed; a text shorter than ``length``
 keeps everything; all copies of a string are removed, the first included; equal rows are copies of each
@@ -343,11 +344,17 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group_limit
 
     blocks = save(pieces.where(F.col("m") > group_limit).mapInArrow(
         _blocks(length, block), "core long, doc_id long, p long, n long, strings array<long>"), "blocks")
-    cores = blocks.groupBy("core").agg(F.sum("n").alias("all")).where("all > 1").select("core")
-    strings = blocks.join(cores, "core", "left_semi").select("doc_id", "p", "n", F.posexplode("strings").alias("i", "string"))
-    strings = save(strings, "strings")
+    # Equal blocks settle each other whole; only one of each is compared, string by string, with the
+    # others that share its core.
+    same = ["core", "whole"]
+    blocks = blocks.withColumn("whole", F.xxhash64("strings"))
+    kinds = save(blocks.groupBy(*same).agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "p")).alias("one"), F.first("strings").alias("strings")), "kinds")
+    whole = blocks.join(kinds.where("n > 1").select(*same), same, "left_semi").select("doc_id", "p", F.size("strings").alias("c"))
+    cores = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 AND least = 1").select("core")
+    strings = save(kinds.join(cores, "core", "left_semi").select("one.doc_id", "one.p", "n", F.posexplode("strings").alias("i", "string")), "strings")
     twice = strings.groupBy("string").agg(F.sum("n").alias("all")).where("all > 1").select("string")
-    split = strings.join(twice, "string", "left_semi").select("doc_id", (F.col("p") + F.col("i")).alias("p"), F.lit(1).alias("c"))
+    split = strings.where("n = 1").join(twice, "string", "left_semi").select("doc_id", (F.col("p") + F.col("i")).alias("p"), F.lit(1).alias("c"))
+    split = split.unionByName(whole)
 
     found = at_once.unionByName(equal).unionByName(expanded).unionByName(split).groupBy("doc_id").agg(
         F.collect_list(F.struct("p", "c")).alias("found"))  # bounded by the text's length
