@@ -73,6 +73,8 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     low[second_byte & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
     hashes = hash_slices(prefix_hash(low), start, end)
     n = len(start)
+    if not n:
+        return hashes, np.zeros(0, np.int8), start, end, first
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     opens = np.zeros(n, bool)  # begins a text or a sentence
     opens[first[:-1][np.diff(first) > 0]] = True
@@ -91,11 +93,11 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     # Names in a row are one slot.
     inside = np.append(False, (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:])
     keep = ~inside
-    last = np.append(np.flatnonzero(keep)[1:] - 1, n - 1) if n else np.zeros(0, np.int64)
+    last = np.append(np.flatnonzero(keep)[1:] - 1, n - 1)
     kept_before = np.append(0, np.cumsum(keep))
     hashes, kind = hashes[keep], kind[keep]
     hashes = np.where(kind > 0, _KINDS[kind], hashes)
-    return hashes, kind, start[keep], end[last] if n else end, kept_before[first]
+    return hashes, kind, start[keep], end[last], kept_before[first]
 
 
 def _windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE ** i`` and its inverse modulo 2**64 for i below ``n``."""
-    if len(_powers.get("up", ())) < n:
+    if len(_powers.get("up", ())) < max(n, 1):
         size = max(n, CHUNK + 1)
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)

@@ -101,9 +101,9 @@ class Page:
             if m[1]:  # end tag
                 inline = tag in INLINE
                 depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag or (inline and stack[d][0] not in INLINE)), 0)
+                if not inline:
+                    flush()
                 if depth and stack[depth][0] == tag:
-                    if not inline:
-                        flush()
                     links -= sum(t == "a" for t, _ in stack[depth:])
                     del stack[depth:]
                 continue
