@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNNING, SUCCEEDED, FAILED = "RUNNING", "SUCCEEDED", "FAILED"
-ERROR_LIMIT = 4000
 RUN_SCHEMA = "run_id string, status string, event_ts timestamp, duration_seconds double, error_message string"
 CHANGE_COLUMNS = ["table_name", "inserted_count", "updated_count", "deleted_count", "unchanged_count"]
 PROFILE_COLUMNS = ["stage", "dataset_name", "row_count", "column_count", "null_count", "duplicate_key_count", "null_by_column"]
@@ -50,7 +49,7 @@ class AuditLog:
     def _event(self, run_id: str, status: str, duration: float | None = None, error: str | None = None,
                at: datetime | None = None) -> None:
         at = at or datetime.now(UTC).replace(tzinfo=None)
-        row = [(run_id, status, at, duration, error[:ERROR_LIMIT] if error else None)]
+        row = [(run_id, status, at, duration, error)]
         self.spark.createDataFrame(row, RUN_SCHEMA).write.mode("append").parquet(self._path("runs"))
 
     def start_run(self, run_id: str | None = None, at: datetime | None = None) -> str:
@@ -134,7 +133,10 @@ class AuditLog:
 
 # R5 ----------------------------------------------------------------------------------------------
 def execution_summary(spark: SparkSession, **metrics: float | int | str | None) -> DataFrame:
-    """One-row metrics frame (e.g. extraction/staging/processed/loaded/rejected rows, duration)."""
-    from pyspark.sql import Row
+    """One-row metrics frame (e.g. extraction/staging/processed/loaded/rejected rows, duration). A metric
+    without a value is a null text."""
+    def kind(value) -> str:
+        return {bool: "boolean", int: "long", float: "double"}.get(type(value), "string")
 
-    return spark.createDataFrame([Row(**metrics)])
+    schema = ", ".join(f"`{name}` {kind(value)}" for name, value in metrics.items())
+    return spark.createDataFrame([tuple(metrics.values())], schema)

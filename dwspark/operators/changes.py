@@ -45,16 +45,31 @@ def with_row_hash(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, payload_hash(df, keys).alias(HASH))
 
 
+DRIFT = "_drift"
+
+
 def align(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """The previous snapshot with the current snapshot's columns and types (missing columns null),
-    so the same value hashes the same on both sides (``1.50`` decimal vs ``1.5`` double)."""
-    cols = []
+    """The previous snapshot with the current snapshot's columns (missing columns null). Where types
+    differ the previous value is read as the current type, so that the same value hashes the same on
+    both sides (``1.50`` decimal vs ``1.5`` double); a value that the type cannot hold becomes null."""
+    return _aligned(previous, current).drop(DRIFT)
+
+
+def _aligned(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """:func:`align` with a flag for the rows in which a value became null: they differ from every
+    current row, also from one with a null there."""
+    cols, lost = [], F.lit(False)
+    types = dict(previous.dtypes)
     for f in current.schema.fields:
-        if f.name in previous.columns:
-            cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
+        name = F.col(f"`{f.name}`")
+        if f.name in previous.columns and types[f.name] == f.dataType.simpleString():
+            cols.append(name)
+        elif f.name in previous.columns:
+            cols.append(name.try_cast(f.dataType).alias(f.name))
+            lost = lost | (name.isNotNull() & name.try_cast(f.dataType).isNull())
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return previous.select(*cols)
+    return previous.select(*cols, lost.alias(DRIFT))
 
 
 def _digests(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
@@ -78,8 +93,8 @@ def _digests(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
 
 
 def _joined(current: DataFrame, previous: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    previous = align(previous, current)
-    cur, prev = _digests(current, keys, "cur"), _digests(previous, keys, "prev")
+    previous = _aligned(previous, current)
+    cur, prev = _digests(current.withColumn(DRIFT, F.lit(False)), keys, "cur"), _digests(previous, keys, "prev")
     if not null_safe:
         return cur.join(prev, list(keys), "full_outer")
     cond = None
@@ -129,11 +144,12 @@ def change_feed(
 
 
 def changed_rows(current: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Row-level feed with the data: inserted and updated current rows plus deleted previous rows,
-    each tagged with ``change_type`` (the keyed feed joined back to the snapshots)."""
+    """The feed with the data: every changed key's rows as they are now (``image`` = ``after``: inserts
+    and updates) and as they were (``before``: updates and deletes), tagged with ``change_type``. A
+    repeated key gives all its rows of each image, never pairs of them."""
     feed = change_feed(current, previous, keys).select(*keys, "change_type")
-    after = current.join(feed.where(F.col("change_type") != "delete"), list(keys), "inner")
-    before = align(previous, current).join(feed.where(F.col("change_type") == "delete"), list(keys), "inner")
+    after = current.join(feed.where(F.col("change_type") != "delete"), list(keys)).withColumn("image", F.lit("after"))
+    before = align(previous, current).join(feed.where(F.col("change_type") != "insert"), list(keys)).withColumn("image", F.lit("before"))
     return after.unionByName(before)
 
 

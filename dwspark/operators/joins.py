@@ -1,8 +1,7 @@
 """Join operators.
 
-Broadcasting is never assumed: :func:`bounded_broadcast` counts at most ``max_rows + 1`` rows of
-the side and only then marks it for broadcast; a bigger side is left to Catalyst/AQE (sort-merge or
-shuffled hash join, with AQE's skew-join split for hot keys).
+No side is marked for broadcast: Catalyst and AQE choose from statistics in bytes (broadcast, shuffled
+hash or sort-merge join, with AQE's skew-join split for hot keys).
 """
 
 from __future__ import annotations
@@ -14,18 +13,6 @@ from pyspark.sql import functions as F
 
 from dwspark.functions.clean import join_key
 
-# Default row bound for broadcasting a lookup side.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``side`` only when it has at most ``max_rows`` rows (checked with a limited count,
-    which stops reading once the bound is passed)."""
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
-
-
 # J1 ----------------------------------------------------------------------------------------------
 def lookup_join(
     df: DataFrame,
@@ -34,15 +21,16 @@ def lookup_join(
     right_col: str,
     value_cols: Sequence[str],
     how: str = "left",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left lookup on normalised keys (``lower(trim())`` on both sides). Null or unmatched keys give
     null values, to be rejected later by a required rule. The reference side is narrowed to key +
-    values and broadcast only after its size is checked."""
-    key = f"_jk_{left_col}"
-    right = ref.select(join_key(right_col).alias(key), *value_cols)
-    right = bounded_broadcast(right, max_broadcast_rows)
-    return df.withColumn(key, join_key(left_col)).join(right, key, how).drop(key)
+    values. Null keys can never match; each is salted with a number of its own (a non-matching key), so
+    that a column of mostly nulls does not land in one partition of a shuffled join."""
+    key, salt = f"_jk_{left_col}", f"_salt_{left_col}"
+    right = ref.select(join_key(right_col).alias(key), F.lit(0).alias(salt), *value_cols).where(F.col(key).isNotNull())
+    # Constant for the rows that can match; the row's own hash for those that cannot.
+    own = F.when(join_key(left_col).isNull(), F.abs(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) % 1000).cast("int") + 1).otherwise(0)
+    return df.withColumns({key: F.coalesce(join_key(left_col), F.lit("")), salt: own}).join(right, [key, salt], how).drop(key, salt)
 
 
 # J2 ----------------------------------------------------------------------------------------------

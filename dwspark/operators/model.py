@@ -44,7 +44,8 @@ class TrainingResult:
 def hash_split(df: DataFrame, key: str, test_percent: int = TEST_PERCENT, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Deterministic train/test split by a hash of the key: a row's side depends only on its key and
     the seed, not on partitioning or ordering (``randomSplit`` is not stable under either)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.where(bucket >= test_percent), df.where(bucket < test_percent)
 
 
@@ -58,14 +59,14 @@ def require_rows(df: DataFrame, minimum: int = MIN_TRAINING_ROWS) -> None:
 # L3 / L4 -----------------------------------------------------------------------------------------
 def build_pipeline(numeric: Sequence[str], categorical: Sequence[str], target: str, max_depth: int = MAX_DEPTH,
                    min_rows_per_leaf: int = MIN_ROWS_PER_LEAF, seed: int = SEED, max_bins: int = 64) -> Pipeline:
-    """Index + one-hot encode categoricals (unseen categories go to an extra "unknown" slot),
-    assemble with the numerics, and fit a decision tree."""
+    """Index + one-hot encode categoricals (an unseen category is all zeros: the indexer keeps it as its
+    last index, which the encoder drops), assemble with the numerics, and fit a decision tree."""
     idx = [f"{c}__idx" for c in categorical]
     ohe = [f"{c}__ohe" for c in categorical]
     stages = []
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep", dropLast=False))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
     stages.append(VectorAssembler(inputCols=list(numeric) + ohe, outputCol="features", handleInvalid="skip"))
     stages.append(DecisionTreeRegressor(featuresCol="features", labelCol=target, predictionCol="predicted",
                                         maxDepth=max_depth, minInstancesPerNode=min_rows_per_leaf, seed=seed, maxBins=max_bins))

@@ -170,6 +170,13 @@ def sql_legacy_date(text: str, max_valid_year: int = 2025) -> str:
     return f"(CASE WHEN year({p}) > {max_valid_year} THEN CAST({p} - INTERVAL 100 YEAR AS DATE) ELSE {p} END)"
 
 
+def sql_to_int(text: str) -> str:
+    """Plain decimals only, truncated toward zero."""
+    t = f"trim({text})"
+    return (f"(CASE WHEN regexp_full_match({t}, '[+-]?(\\d+\\.?\\d*|\\.\\d+)') "
+            f"THEN TRY_CAST(trunc(TRY_CAST({t} AS DECIMAL(38,10))) AS INTEGER) END)")
+
+
 def sql_digit_time_text(ts: str, key: str) -> str:
     plain = f"CAST(hour({ts}) * 10000 + minute({ts}) * 100 + second({ts}) AS VARCHAR)"
     v = f"(({key}) % 7)"

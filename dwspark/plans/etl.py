@@ -10,6 +10,7 @@ warehouse untouched.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -24,6 +25,8 @@ from dwspark.operators.profile import profile_many
 from dwspark.plans import bank
 from dwspark.sinks import tables
 
+log = logging.getLogger(__name__)
+
 # ---- fixed values that must equal the reference's --------------------------------------------
 LOAD_ORDER = ["education_status", "marital_status", "marketing_campaign_deposit", "customers", "transactions"]
 TARGET_KEYS = {
@@ -68,6 +71,8 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
     run_id = audit.start_run()
     started = time.time()
     warehouse = warehouse.rstrip("/")
+    summary_path = f"{audit_base.rstrip('/')}/summaries/{run_id}"
+    staged: dict[str, str] = {}
     try:
         source_profiles = profile_many([
             ("bank_transactions", src.transactions, ["TransactionID"]),
@@ -76,8 +81,17 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
             ("marital_status", src.marital, ["marital_id"]),
         ], "source")
         targets = transform(src, max_valid_year)
-        staged = concurrently({n: (lambda n=n, d=d: tables.write_staging(d, f"{warehouse}/{n}")) for n, d in targets.items()})
+
+        def stage(name: str, target: DataFrame) -> int:
+            staged[name], rows = tables.write_counted(target, f"{warehouse}/{name}")
+            return rows
+
+        # The sources' profiles are recorded whatever becomes of the targets.
+        done = concurrently({"profiles": lambda: audit.save_profiles(run_id, source_profiles),
+                             **{n: (lambda n=n, d=d: stage(n, d)) for n, d in targets.items()}})
+        expected = {n: done[n] for n in LOAD_ORDER}
         new = {name: spark.read.parquet(path) for name, path in staged.items()}
+        tables.verify_counts(expected, new)
         target_profiles = profile_many([(n, new[n], TARGET_KEYS[n]) for n in LOAD_ORDER], "target")
         previous = {
             n: (spark.read.parquet(f"{warehouse}/{n}") if tables.path_exists(spark, f"{warehouse}/{n}")
@@ -86,20 +100,22 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
         }
         changes = change_counts_many([(n, new[n], previous[n], TARGET_KEYS[n]) for n in LOAD_ORDER])
         # Record profiles and changes while both snapshots are still readable.
-        jobs = {
-            "profiles": lambda: audit.save_profiles(run_id, source_profiles.unionByName(target_profiles)),
-            "changes": lambda: audit.save_changes(run_id, changes),
-            **{f"count:{n}": (lambda n=n: new[n].count()) for n in LOAD_ORDER},  # Parquet footers: no data scan
-        }
-        done = concurrently(jobs)
-        expected = {n: done[f"count:{n}"] for n in LOAD_ORDER}
+        concurrently({"profiles": lambda: audit.save_profiles(run_id, target_profiles),
+                      "changes": lambda: audit.save_changes(run_id, changes)})
         tables.load_in_order(staged, LOAD_ORDER, lambda name, path: tables.swap_in(spark, path, f"{warehouse}/{name}"))
         tables.verify_counts(expected, {n: spark.read.parquet(f"{warehouse}/{n}") for n in LOAD_ORDER})
         audit.mark_succeeded(run_id, time.time() - started)
     except Exception as e:
-        audit.mark_failed(run_id, f"{type(e).__name__}: {e}")
+        # Nothing that goes wrong while the failure is recorded may hide the failure itself.
+        for clean_up in (lambda: audit.mark_failed(run_id, f"{type(e).__name__}: {e}"),
+                         lambda: audit.export_summary(run_id, summary_path),
+                         lambda: [tables.remove(spark, path) for path in staged.values()]):
+            try:
+                clean_up()
+            except Exception as second:
+                log.warning("while recording a failed run: %s", second)
         raise
-    audit.export_summary(run_id, f"{audit_base.rstrip('/')}/summaries/{run_id}")
+    audit.export_summary(run_id, summary_path)
     return run_id, audit.summary(run_id)
 
 
@@ -109,6 +125,6 @@ def driver_sources(t: Mapping[str, DataFrame]) -> BankSources:
     none_ts = F.lit(None).cast("timestamp_ntz")
     edu = t["region"].select(F.col("r_regionkey").alias("education_id"), F.col("r_name").alias("value"),
                              none_ts.alias("created_at"), none_ts.alias("updated_at"))
-    mar = t["nation"].where(F.col("n_nationkey") < 3).select(
+    mar = t["nation"].select(
         (F.col("n_nationkey") + 1).alias("marital_id"), F.col("n_name").alias("value"), none_ts.alias("created_at"), none_ts.alias("updated_at"))
     return BankSources(bank.transactions_source(t), bank.campaign_source(t), edu, mar)

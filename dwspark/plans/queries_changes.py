@@ -90,6 +90,37 @@ def c4_change_feed(t):
     return changes.change_feed(t["orders"], previous_orders(t["orders"]), ["o_orderkey"])
 
 
+_CHANGED = f"SELECT k, ck, pk FROM ({ORDERS_JOINED_SQL}) WHERE NOT (ck IS NOT NULL AND pk IS NOT NULL AND same)"
+
+
+@register("c4_changed_rows", f"""
+SELECT c.*, CASE WHEN j.pk IS NULL THEN 'insert' ELSE 'update' END AS change_type, 'after' AS image
+FROM orders c JOIN ({_CHANGED}) j ON j.ck = c.o_orderkey
+UNION ALL
+SELECT p.*, CASE WHEN j.ck IS NULL THEN 'delete' ELSE 'update' END AS change_type, 'before' AS image
+FROM ({PREV_ORDERS_SQL}) p JOIN ({_CHANGED}) j ON j.pk = p.o_orderkey
+""")
+def c4_changed_rows(t):
+    return changes.changed_rows(t["orders"], previous_orders(t["orders"]), ["o_orderkey"])
+
+
+@register("c1_row_hash", """
+SELECT c_custkey, sha256('{"c_acctbal":' || CAST(c_acctbal AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment
+       || '","c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}') AS _row_hash
+FROM customer
+""")
+def c1_row_hash(t):
+    return changes.with_row_hash(t["customer"], ["c_custkey"])
+
+
+@register("c3_first_snapshot", """
+SELECT count(*) AS inserted_count, CAST(0 AS BIGINT) AS updated_count, CAST(0 AS BIGINT) AS deleted_count,
+       CAST(0 AS BIGINT) AS unchanged_count FROM orders
+""")
+def c3_first_snapshot(t):
+    return changes.change_counts(t["orders"], t["orders"].where(F.lit(False)), ["o_orderkey"])
+
+
 @register("c5_change_summary", f"""
 SELECT 1 AS position, 'orders' AS table_name, * FROM ({_counts_sql(ORDERS_JOINED_SQL)})
 UNION ALL

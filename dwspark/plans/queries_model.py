@@ -1,7 +1,8 @@
 """Registered model queries.
 
-The regression metrics of a formula prediction (A5) have an exact SQL oracle. The train/test split
-uses Spark's xxhash64, and the tree is Spark's own, so those queries are checked on rows only.
+The regression metrics of a formula prediction (A5), the prepared model frame (L1) and the train/test
+split by MD5 (L2) have exact SQL oracles. The tree is Spark's own, so L5 and L6 are checked on rows
+here and against a mean predictor in the tests.
 """
 
 from __future__ import annotations
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 
 from dwspark.operators import model
 from dwspark.operators.aggregate import regression_metrics
+from dwspark.functions.clean import prepare_model_frame
 from dwspark.plans import car_sales
 from dwspark.plans.catalog import register
+from dwspark.plans.queries_pipelines import CAR_LOADED_SQL
 
-NUMERIC = ["year", "condition", "odometer", "mmr"]
-CATEGORICAL = ["transmission", "color", "interior", "brand"]
+# The reference's features.
+NUMERIC = ["year", "brand_car_id", "id_state", "condition", "odometer", "mmr"]
+CATEGORICAL = ["transmission", "color", "interior"]
 
 
 @register("a5_regression_metrics", """
@@ -32,8 +36,7 @@ def a5_regression_metrics(t):
 
 
 def _training_frame(t):
-    loaded = car_sales.transform(car_sales.sales_source(t), car_sales.brands_reference(t), car_sales.states_reference(t)).loaded
-    return loaded.withColumn("brand", F.col("brand_car_id").cast("string"))
+    return car_sales.transform(car_sales.sales_source(t), car_sales.brands_reference(t), car_sales.states_reference(t)).loaded
 
 
 @register("l6_holdout_predictions", None, headline=True)
@@ -48,7 +51,22 @@ def l5_model_metrics(t):
     return res.metrics
 
 
-@register("l2_hash_split", None)
+_BUCKET_SQL = "CAST('0x' || substr(md5(CAST(id_sales_nk AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 100"
+
+
+@register("l1_model_frame", CAR_LOADED_SQL + """
+SELECT id_sales_nk, CAST(year AS DOUBLE) AS year, CAST(brand_car_id AS DOUBLE) AS brand_car_id, CAST(id_state AS DOUBLE) AS id_state,
+       condition, odometer, mmr, coalesce(transmission, 'unknown') AS transmission, coalesce(color, 'unknown') AS color,
+       coalesce(interior, 'unknown') AS interior, selling_price
+FROM loaded
+""")
+def l1_model_frame(t):
+    return prepare_model_frame(_training_frame(t), NUMERIC, CATEGORICAL, "selling_price", keep=["id_sales_nk"])
+
+
+@register("l2_hash_split", CAR_LOADED_SQL + f"""
+SELECT CASE WHEN {_BUCKET_SQL} >= 20 THEN 'train' ELSE 'test' END AS side, id_sales_nk FROM loaded
+""")
 def l2_hash_split(t):
     train, test = model.hash_split(_training_frame(t), "id_sales_nk")
     return train.select(F.lit("train").alias("side"), "id_sales_nk").unionByName(test.select(F.lit("test").alias("side"), "id_sales_nk"))

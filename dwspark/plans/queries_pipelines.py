@@ -102,10 +102,10 @@ LEFT JOIN nation ON l.l_suppkey % 27 = nation.n_nationkey
 
 CAR_TYPED_SQL = f"""
 WITH src AS ({CAR_SRC_SQL}),
-brands AS (SELECT CAST(row_number() OVER (ORDER BY brand_name) AS INTEGER) AS brand_car_id, brand_name FROM (SELECT DISTINCT p_brand AS brand_name FROM part)),
+brands AS (SELECT TRY_CAST(regexp_extract(brand_name, '([0-9]+)', 1) AS INTEGER) AS brand_car_id, brand_name FROM (SELECT DISTINCT p_brand AS brand_name FROM part)),
 typed AS (
-  SELECT coalesce(TRY_CAST(trim(id_sales) AS INTEGER), TRY_CAST(TRY_CAST(trim(id_sales) AS DECIMAL(38,10)) AS INTEGER)) AS id_sales_nk,
-         coalesce(TRY_CAST(trim(year) AS INTEGER), TRY_CAST(TRY_CAST(trim(year) AS DECIMAL(38,10)) AS INTEGER)) AS year,
+  SELECT {d.sql_to_int('id_sales')} AS id_sales_nk,
+         {d.sql_to_int('year')} AS year,
          {d.sql_clean_text('brand_car')} AS brand_car, {d.sql_clean_text('transmission')} AS transmission,
          {d.sql_clean_text('state')} AS state,
          {d.sql_parse_number('condition')} AS condition, {d.sql_parse_number('odometer')} AS odometer,
@@ -130,13 +130,16 @@ tagged AS (
 """
 
 
-@register("w11_car_sales", CAR_TYPED_SQL + """
+CAR_LOADED_SQL = CAR_TYPED_SQL + """, loaded AS (
 SELECT id_sales_nk, year, brand_car_id, transmission, id_state, condition, odometer, color, interior, mmr, selling_price
 FROM (SELECT *, row_number() OVER (PARTITION BY id_sales_nk ORDER BY year NULLS FIRST, brand_car_id NULLS FIRST,
         transmission NULLS FIRST, id_state NULLS FIRST, condition NULLS FIRST, odometer NULLS FIRST, color NULLS FIRST,
         interior NULLS FIRST, mmr NULLS FIRST, selling_price NULLS FIRST) AS r
-      FROM tagged WHERE ok) WHERE r = 1
-""", headline=True)
+      FROM tagged WHERE ok) WHERE r = 1)
+"""
+
+
+@register("w11_car_sales", CAR_LOADED_SQL + "SELECT * FROM loaded", headline=True)
 def w11_car_sales(t):
     return car_sales.transform(car_sales.sales_source(t), car_sales.brands_reference(t), car_sales.states_reference(t)).loaded
 

@@ -61,8 +61,10 @@ FROM customer
 @register("w5_fct_order", f"""
 WITH s AS ({ITEM_SUMMARY_SQL}),
 c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS sk_customer_id FROM customer),
-p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS sk_product_id FROM part)
-SELECT o.o_orderkey AS nk_order_id, c.sk_customer_id, p.sk_product_id,
+p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS sk_product_id FROM part),
+e AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS sk_employee_id FROM supplier),
+f AS (SELECT l_orderkey, min(l_suppkey) AS employee_id FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey AS nk_order_id, c.sk_customer_id, p.sk_product_id, e.sk_employee_id,
        CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS order_date,
        CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
        s.quantity, s.unit_price, s.subtotal,
@@ -71,6 +73,8 @@ FROM orders o
 LEFT JOIN s ON s.order_id = o.o_orderkey
 LEFT JOIN c ON c.c_custkey = o.o_custkey
 LEFT JOIN p ON p.p_partkey = s.product_id
+LEFT JOIN f ON f.l_orderkey = o.o_orderkey
+LEFT JOIN e ON e.s_suppkey = f.employee_id
 """, headline=True)
 def w5_fct_order(t):
     return wh.fct_order(t)

@@ -8,8 +8,8 @@ movements, a date dimension) maps onto the driver tables as:
   fct_order      <- orders + lineitem summary      fct_inventory <- lineitem (one movement per line)
   dim_date       <- every day between the first and last order / ship date
 
-Each function takes a ``dict`` of table DataFrames and returns a lazy DataFrame. Dimension surrogate
-keys are dense ``1..N`` in natural-key order (A7); facts look them up with left joins, so a fact row
+Each function takes a ``dict`` of table DataFrames and returns a DataFrame; where surrogate keys are
+numbered, building it writes the numbered keys once. Dimension surrogate keys are dense ``1..N`` in natural-key order (A7); facts look them up with left joins, so a fact row
 is never dropped for a missing dimension row.
 """
 
@@ -118,23 +118,38 @@ def order_item_summary(t: Tables) -> DataFrame:
     )
 
 
-def fct_order(t: Tables, customers: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
-    """One row per order: header left-joined to its line summary, customer and product dims, with
-    the order date as an int key. The line summary is grouped on ``l_orderkey`` and therefore
-    already hash-partitioned on the join key; only the orders side moves for that join."""
-    customers = customers if customers is not None else dim_customers(t)
-    products = products if products is not None else dim_products(t)
+def _keys(source: DataFrame, key: str, name: str) -> DataFrame:
+    """Natural and surrogate keys alone, numbered as the full dimension numbers them (by natural key), so
+    that a fact needs no other column of a dimension that was not handed to it."""
+    return with_surrogate_key(source.select(F.col(key).alias(f"nk_{name}_id")), [f"nk_{name}_id"], f"sk_{name}_id")
+
+
+def fct_order(
+    t: Tables, customers: DataFrame | None = None, products: DataFrame | None = None, employees: DataFrame | None = None,
+) -> DataFrame:
+    """One row per order: header left-joined to its line summary and its customer, employee (the
+    first supplier of its lines) and product keys, with the order date as an int key. The line
+    summaries are grouped on ``l_orderkey`` and therefore already hash-partitioned on the join key;
+    only the orders side moves for those joins. Saved dimensions can be handed in; else only their
+    keys are numbered, which writes one narrow table a dimension while the query is built."""
+    customers = customers if customers is not None else _keys(t["customer"], "c_custkey", "customer")
+    products = products if products is not None else _keys(t["part"], "p_partkey", "product")
+    employees = employees if employees is not None else _keys(t["supplier"], "s_suppkey", "employee")
     o = t["orders"]
     s = order_item_summary(t)
+    staff = t["lineitem"].groupBy(F.col("l_orderkey").alias("served_order")).agg(F.min("l_suppkey").alias("employee_id"))
     fact = (
         o.join(s, o["o_orderkey"] == s["order_id"], "left")
+        .join(staff, o["o_orderkey"] == staff["served_order"], "left")
         .join(customers.select("nk_customer_id", "sk_customer_id"), F.col("o_custkey") == F.col("nk_customer_id"), "left")
+        .join(employees.select("nk_employee_id", "sk_employee_id"), F.col("employee_id") == F.col("nk_employee_id"), "left")
         .join(products.select("nk_product_id", "sk_product_id"), F.col("product_id") == F.col("nk_product_id"), "left")
     )
     return fact.select(
         F.col("o_orderkey").alias("nk_order_id"),
         "sk_customer_id",
         "sk_product_id",
+        "sk_employee_id",
         clean.date_key("o_orderdate").alias("order_date"),
         F.col("o_totalprice").cast(MONEY).alias("total_amount"),
         "quantity",
@@ -148,7 +163,7 @@ def fct_order(t: Tables, customers: DataFrame | None = None, products: DataFrame
 # W6 ----------------------------------------------------------------------------------------------
 def fct_inventory(t: Tables, products: DataFrame | None = None) -> DataFrame:
     """Each line item is a stock movement out (negative quantity) or, when returned (``R``), back in."""
-    products = products if products is not None else dim_products(t)
+    products = products if products is not None else _keys(t["part"], "p_partkey", "product")
     li = t["lineitem"]
     qty = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(-F.col("l_quantity"))
     moves = li.select(

@@ -6,13 +6,10 @@ the bench and ``__spark_entry__``.
 
 from __future__ import annotations
 
-import json
 import os
-import tempfile
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 # The driver's synthetic tables.
 DRIVER_TABLES = (
@@ -42,65 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-# A scan smaller than this is never spread (the shuffle would cost more than it saves).
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _file_status(spark: SparkSession, path: str):
-    """Hadoop ``FileStatus`` of a path (one metadata call, no job); None without JVM access."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    except Exception:
-        return None
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
-def _should_spread(spark: SparkSession, df: DataFrame, path: str, min_bytes: int = SPREAD_MIN_BYTES) -> bool:
-    """A scan that cannot use the cluster is spread.
-
-    A Parquet file is split by row groups, so a file written as one row group is read by one task
-    however many cores there are, and every per-row expression before the first shuffle runs on
-    that one task. When a scan has fewer splits than the cluster has cores and holds at least
-    ``min_bytes``, a round-robin repartition (filters and column pruning still reach the scan
-    below it) hands the rows to every core. At scale a table has thousands of splits and this is a
-    no-op (its size is only looked up when the split count is low)."""
-    try:
-        return df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism and _size(spark, path) >= min_bytes
-    except Exception:  # no RDD/JVM access: leave the scan as is
-        return False
-
-
-# Single-file tables already opened in this process: (path, cores, bytes, mtime) -> (schema JSON,
-# spread?). Opening a Parquet table infers its schema with a Spark job; a table that every query
-# re-opens pays that once. The key holds the file's size and modification time, so a rewritten file
-# is inferred again (a metastore table keeps its schema the same way). Folder tables are not
-# remembered: object stores give folders no reliable modification time, and one inference job is
-# small next to scanning a large table.
-_OPENED: dict[tuple, tuple[str, bool]] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    status = _file_status(spark, path)
-    key = None
-    if status is not None and status.isFile():
-        key = (path, spark.sparkContext.defaultParallelism, int(status.getLen()), int(status.getModificationTime()))
-    if key in _OPENED:
-        schema_json, spread_it = _OPENED[key]
-        df = spark.read.schema(StructType.fromJson(json.loads(schema_json))).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        spread_it = _should_spread(spark, df, path)
-        if key:
-            _OPENED[key] = (df.schema.json(), spread_it)
-    return df.repartition(spark.sparkContext.defaultParallelism) if spread_it else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables(Mapping):
@@ -131,25 +71,14 @@ def read_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = DRIVER_
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the operator and must be shared storage; it is only filled in here
-    when unset (local runs and tests), with a fresh temporary folder.
-    """
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; where that is unset (tests), a
+    folder below the session's warehouse, which the executors share as well."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage); "
-                           "intermediate tables must survive the loss of an executor")
-    # Local runs and tests only: a fresh folder on this machine.
-    path = tempfile.mkdtemp(prefix="dwspark-ckpt-")
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    current = current or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

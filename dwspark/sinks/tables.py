@@ -2,8 +2,8 @@
 
 Loads are idempotent full refreshes, so a retried task or a re-run job rewrites the same result
 (Spark's task retry replaces the reference's retry wrapper). File-table refreshes write to a
-staging folder and swap it in only after the write has committed, so readers never see a
-half-written table (the reference truncates first and exposes a half-loaded table meanwhile).
+staging folder and swap it in only after the write has committed, so no half-written table is
+ever at the table's path (the reference truncates first and exposes a half-loaded table meanwhile).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dwspark.operators.aggregate import union_all
@@ -27,6 +27,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 # K1 ----------------------------------------------------------------------------------------------
+def write_counted(df: DataFrame, path: str) -> tuple[str, int]:
+    """:func:`write_staging` that also returns how many rows went into the write, counted on their way
+    (``observe``), not read back from the files."""
+    seen = Observation()
+    staging = write_staging(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return staging, int(seen.get["rows"])
+
+
 def write_staging(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` to a fresh ``<path>.staging-<id>`` folder and return that folder."""
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
@@ -38,13 +46,22 @@ def write_staging(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def swap_in(spark: SparkSession, staging: str, path: str) -> str:
-    """Replace ``path`` with the committed ``staging`` folder (a rename)."""
+    """Replace ``path`` with the committed ``staging`` folder by renames: the old table steps aside first
+    and is deleted last, so that one complete copy exists at any time; if the second rename fails the
+    old table is put back. Between the two renames ``path`` is absent for a moment, and on an object
+    store a rename is a copy: there, use catalog tables (:func:`replace_catalog_table`)."""
     fs, target = _fs(spark, path)
     _, src = _fs(spark, staging)
-    if fs.exists(target):
-        fs.delete(target, True)
+    _, aside = _fs(spark, f"{path.rstrip('/')}.previous-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(src, target):
+        if had:
+            fs.rename(aside, target)
         raise OSError(f"could not move {staging} to {path}")
+    if had:
+        fs.delete(aside, True)
     return path
 
 
@@ -53,6 +70,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """Full refresh of a file table: write everything to a staging folder, then replace ``path``
     with it, so the old table stays readable until the new one is complete. Returns ``path``."""

@@ -46,5 +46,5 @@ def key_bounds(spark: SparkSession, url: str, table: str, column: str, propertie
 def read_columns(spark: SparkSession, url: str, table: str, columns: Sequence[str],
                  properties: Mapping[str, str] | None = None, fetch_size: int = FETCH_SIZE) -> DataFrame:
     """Only the named columns, pushed into the database as a sub-query."""
-    cols = ", ".join(f'"{c}"' for c in columns)
+    cols = ", ".join('"' + c.replace('"', '""') + '"' for c in columns)
     return _reader(spark, url, properties, fetch_size).option("dbtable", f"(SELECT {cols} FROM {table}) snapshot").load()

@@ -16,8 +16,9 @@ def test_change_counts_one_of_each(spark):
     assert counts(changes.change_counts(cur, prev, ["customer_id"])) == (1, 1, 1, 1)
     feed = {r.customer_id: r.change_type for r in changes.change_feed(cur, prev, ["customer_id"]).collect()}
     assert feed == {"4": "insert", "2": "update", "3": "delete"}
-    rows = {(r.customer_id, r.change_type, r.location) for r in changes.changed_rows(cur, prev, ["customer_id"]).collect()}
-    assert rows == {("4", "insert", "Bali"), ("2", "update", "Bandung"), ("3", "delete", "Medan")}
+    rows = {(r.customer_id, r.change_type, r.image, r.location) for r in changes.changed_rows(cur, prev, ["customer_id"]).collect()}
+    assert rows == {("4", "insert", "after", "Bali"), ("2", "update", "before", "Surabaya"), ("2", "update", "after", "Bandung"),
+                    ("3", "delete", "before", "Medan")}
 
 
 def test_empty_previous_is_all_inserts(spark):
@@ -75,13 +76,19 @@ def test_surrogate_key_matches_row_number(spark):
     assert sk.count() == 5000 and sk.agg(F.min("sk"), F.max("sk")).first() == (1, 5000)
 
 
-def test_lookup_join_normalised_and_bounded_broadcast(spark):
+def test_lookup_join_normalised(spark):
     sales = spark.createDataFrame([(" FORD ",), ("kia",), (None,), ("unknown",)], "brand string")
     ref = spark.createDataFrame([(1, "Ford"), (2, "Kia ")], "brand_id int, name string")
     out = [r.brand_id for r in joins.lookup_join(sales, ref, "brand", "name", ["brand_id"]).orderBy("brand").collect()]
     assert sorted(out, key=lambda x: (x is None, x)) == [1, 2, None, None]
-    big = spark.range(100)
-    assert "broadcast" not in str(joins.bounded_broadcast(big, max_rows=10)._jdf.queryExecution().logical()).lower()
+    assert joins.lookup_join(sales, ref, "brand", "name", ["brand_id"]).columns == ["brand", "brand_id"]
+
+
+def test_type_drift_is_a_change(spark):
+    cur = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "k int, v int")
+    prev = spark.createDataFrame([(1, "5"), (2, "x"), (3, " 7")], "k int, v string")
+    feed = {r.k: r.change_type for r in changes.change_feed(cur, prev, ["k"], include_unchanged=True).collect()}
+    assert feed == {1: "unchanged", 2: "update", 3: "unchanged"}
 
 
 def test_join_ignore_case_and_missing_from(spark):

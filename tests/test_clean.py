@@ -69,7 +69,7 @@ def test_clean_text_and_join_key(spark):
 
 
 def test_to_int_truncates_like_legacy_cast(spark):
-    assert col_values(spark, ["2015", "2015.0", " 7.9 ", "-3.5", "x", None], clean.to_int) == [2015, 2015, 7, -3, None, None]
+    assert col_values(spark, ["2015", "2015.0", " 7.9 ", "-3.5", "x", None, "1e3"], clean.to_int) == [2015, 2015, 7, -3, None, None, None]
 
 
 def test_stringify_and_safe_divide(spark):

@@ -1,10 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dwspark.functions.rules import required_rules
 from dwspark.operators import model
 from dwspark.plans import car_sales
-from dwspark.streaming.micro_batch import start_quality_stream
 
 
 def test_hash_split_is_stable_and_disjoint(spark):
@@ -35,17 +33,18 @@ def test_train_evaluate_score_and_save(spark, tables, tmp):
     assert spark.read.option("header", True).csv(f"{tmp}/pred").count() == out.predictions.count()
 
 
-def test_quality_stream_runs_batch_checks(spark, tables, tmp):
-    src = f"{tmp}/in"
-    ev = tables["events"].select("event_id", "user_id", "event_type", "value")
-    ev.where(F.col("event_id") % 2 == 0).write.parquet(f"{src}/part1")
-    stream = spark.readStream.schema(ev.schema).parquet(f"{src}/*")
-    q = start_quality_stream(stream, "events", ["event_id"], required_rules(["event_type"]), f"{tmp}/out", f"{tmp}/ckpt",
-                             trigger={"availableNow": True},
-                             transform=lambda s: s.withColumn("event_type", F.when(F.col("event_type") == "error", None).otherwise(F.col("event_type"))))
-    q.awaitTermination(120)
-    acc = spark.read.parquet(f"{tmp}/out/accepted").count()
-    rej = spark.read.parquet(f"{tmp}/out/rejected").count()
-    assert acc + rej == ev.where(F.col("event_id") % 2 == 0).count() and rej > 0
-    m = spark.read.parquet(f"{tmp}/out/metrics").first()
-    assert m.dataset_name == "events" and m.row_count == acc + rej
+def test_unseen_category_is_all_zeros(spark):
+    train = spark.createDataFrame([(float(i), "ab"[i % 2], 10.0 * (i % 2)) for i in range(40)], "x double, c string, y double")
+    fitted = model.build_pipeline(["x"], ["c"], "y").fit(train)
+    out = fitted.transform(spark.createDataFrame([(1.0, "zzz", 0.0), (1.0, "a", 0.0)], "x double, c string, y double")).collect()
+    assert [list(r["c__ohe"].toArray()) for r in out] == [[0.0, 0.0], [1.0, 0.0]]
+
+
+def test_holdout_beats_the_mean(spark, tables):
+    data = car_sales.transform(car_sales.sales_source(tables), car_sales.brands_reference(tables), car_sales.states_reference(tables)).loaded
+    from dwspark.plans.queries_model import CATEGORICAL, NUMERIC
+
+    out = model.train_and_evaluate(data, "id_sales_nk", NUMERIC, CATEGORICAL, "selling_price")
+    rows = out.predictions.select("actual", "predicted").collect()
+    mean = sum(r.actual for r in rows) / len(rows)
+    assert sum((r.actual - r.predicted) ** 2 for r in rows) < 0.5 * sum((r.actual - mean) ** 2 for r in rows)

@@ -1,9 +1,12 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from dwspark.operators.audit import AuditLog
 from dwspark.plans import bank, car_sales, etl, warehouse
+from dwspark.sinks import tables as tables_module
 
 TXN_COLS = ["CustomerID", "CustomerDOB", "CustGender", "CustLocation", "CustAccountBalance",
             "TransactionID", "TransactionDate", "TransactionTime", "TransactionAmount (INR)"]
@@ -118,3 +121,17 @@ def test_whole_pipeline_detects_changes_and_records_history(spark, tables, tmp):
     assert prof.previous_row_count == n and prof.row_count_delta == -1
     assert spark.read.parquet(f"{tmp}/wh/marketing_campaign_deposit").count() == n - 1
     assert spark.read.json(f"{tmp}/audit/summaries/{run2}").count() == 1
+
+
+def test_failed_run_keeps_its_source_profiles_and_says_why(spark, tables, tmp, monkeypatch):
+    src = etl.driver_sources(tables)
+    write = tables_module.write_counted
+    monkeypatch.setattr(tables_module, "write_counted", lambda df, path: (lambda p, n: (p, n + 1))(*write(df, path)))  # one row got lost
+    with pytest.raises(ValueError):
+        etl.run(spark, src, f"{tmp}/wh", f"{tmp}/audit")
+    run = AuditLog(spark, f"{tmp}/audit").runs().first()
+    assert run.status == "FAILED" and "ValueError" in run.error_message
+    assert {r.stage for r in spark.read.parquet(f"{tmp}/audit/profiles").collect()} == {"source"}
+    assert spark.read.json(f"{tmp}/audit/summaries/{run.run_id}").first().status == "FAILED"
+    import os
+    assert not os.path.exists(f"{tmp}/wh/customers") and not [x for x in os.listdir(f"{tmp}/wh") if ".staging-" in x]
