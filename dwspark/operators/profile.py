@@ -91,12 +91,14 @@ def column_counts(df: DataFrame, table_name: str) -> DataFrame:
     """Null and blank-like counts of every column in one pass:
     ``(table_name, column_name, missing_count, blank_like_count)``. Blank-like means trimmed
     lower-case text in ``"" na n/a null none nan``; non-text columns have 0."""
-    aggs = []
+    aggs, longest = [], max(map(len, BLANK_LIKE_TOKENS))
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.count_if(c.isNull()).alias(f"_m{i}"))
         if _is_text(f.dataType):
-            aggs.append(F.count_if(F.lower(F.trim(c)).isin(*BLANK_LIKE_TOKENS)).alias(f"_b{i}"))
+            # Only a text that is short once trimmed can be one of the tokens: long ones are not lower-cased.
+            short = F.when(F.length(F.trim(c)) <= longest, F.lower(F.trim(c)))
+            aggs.append(F.count_if(short.isin(*BLANK_LIKE_TOKENS)).alias(f"_b{i}"))
     row = df.agg(*aggs)
     entries = [
         F.struct(

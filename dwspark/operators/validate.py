@@ -1,11 +1,10 @@
 """Column validation (Q13–Q18) and the per-table roll-up (Q20).
 
-All checks of one table are counted in one aggregation. Example values are bounded: invalid values
-are reduced to distinct ``(check, value)`` pairs (partial aggregation), then the ``max_examples``
-smallest per check are kept with ``row_number() <= k``, which Spark plans with a partial
-group-limit before the shuffle, so no task ever holds more than ``k`` rows per check per input
-partition. The reference shows the first five in row order; "the smallest five" is the
-deterministic equivalent.
+All checks of one table are counted in one aggregation. Example values are bounded: the
+``max_examples`` smallest per check are kept with ``row_number() <= k``, which Spark plans with a
+group limit in each task before the shuffle, so that only ``k`` rows per check and task move,
+however many rows are invalid. The reference shows the first five in row order, repeats included;
+"the smallest five" is the deterministic equivalent.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ def spark_pattern(fmt: str) -> str:
 def _examples(
     df: DataFrame, specs: Sequence[tuple[str, Column, Column]], k: int, value_type: str = "string", prefilter: bool = True
 ) -> DataFrame:
-    """``(check, examples)`` with at most ``k`` smallest distinct values per check among rows where
+    """``(check, examples)`` with the ``k`` smallest values per check (repeats included) among rows where
     the condition holds. ``prefilter`` drops clean rows before any per-row array is built; turn it
     off when the conditions read projected columns (the filter would be pushed below the projection
     and inline every expression a second time)."""
@@ -48,7 +47,7 @@ def _examples(
         for _, _, cond in specs[1:]:
             any_failed = any_failed | F.coalesce(cond, F.lit(False))
         df = df.where(any_failed)
-    pairs = df.select(F.inline(F.filter(items, lambda x: x.isNotNull()))).distinct()
+    pairs = df.select(F.inline(F.filter(items, lambda x: x.isNotNull())))
     ranked = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("check").orderBy("value"))).where(F.col("_r") <= k)
     return ranked.groupBy("check").agg(F.array_sort(F.collect_list("value")).alias("examples"))
 

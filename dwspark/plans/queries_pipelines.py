@@ -219,3 +219,53 @@ def p9_numeric_cleanup(t):
                               d.amount_text(F.col("l_extendedprice"), F.col("l_orderkey") + F.col("l_linenumber")).alias("amount_text"))
     return li.select("l_orderkey", "l_linenumber", "amount_text", clean.numeric_text("amount_text").alias("cleaned_text"),
                      clean.clean_number("amount_text").alias("amount"))
+
+
+# ---- lookup tables of the bank (W10), stringify (P16), as text (P18), missing flag (P20), fallback
+@register("w10_education_status", "SELECT r_regionkey AS education_id, r_name AS value, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM region")
+def w10_education_status(t):
+    from dwspark.plans import bank, etl
+
+    return bank.lookup_table(etl.driver_sources(t).education, "education_id")
+
+
+@register("w10_marital_status", "SELECT n_nationkey + 1 AS marital_id, n_name AS value, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM nation")
+def w10_marital_status(t):
+    from dwspark.plans import bank, etl
+
+    return bank.lookup_table(etl.driver_sources(t).marital, "marital_id")
+
+
+@register("p16_customer_text", """
+SELECT coalesce(CAST(c_custkey AS VARCHAR), '') AS c_custkey, coalesce(c_name, '') AS c_name, coalesce(CAST(c_nationkey AS VARCHAR), '') AS c_nationkey,
+       coalesce(CAST(c_acctbal AS VARCHAR), '') AS c_acctbal, coalesce(c_mktsegment, '') AS c_mktsegment FROM customer
+""")
+def p16_customer_text(t):
+    from dwspark.functions import clean
+
+    return clean.stringify(t["customer"])
+
+
+@register("p20_order_flags", """
+SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS order_text, l.l_orderkey IS NULL AS has_no_lines,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_orderpriority ELSE 'Unknown' END AS priority
+FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) l ON l.l_orderkey = o_orderkey
+""")
+def p20_order_flags(t):
+    from dwspark.functions import clean
+
+    lines = t["lineitem"].select("l_orderkey").distinct()
+    return t["orders"].join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", clean.as_text("o_orderkey").alias("order_text"), clean.is_missing_flag("l_orderkey").alias("has_no_lines"),
+        clean.category_or_unknown("o_orderpriority", ["1-URGENT", "2-HIGH"]).alias("priority"))
+
+
+@register("j8_latest_previous_order", """
+SELECT c_custkey, o.previous_total FROM customer LEFT JOIN (
+  SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS previous_total FROM orders GROUP BY o_custkey) o ON o.o_custkey = c_custkey
+""")
+def j8_latest_previous_order(t):
+    from dwspark.operators.joins import latest_previous
+
+    history = t["orders"].select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.struct("o_orderdate", "o_orderkey").alias("at"))
+    return latest_previous(t["customer"].select("c_custkey"), history, ["c_custkey"], "at", "o_totalprice", "previous_total")

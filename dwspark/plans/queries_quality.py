@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dwspark.operators import checks, profile, validate
+from dwspark.operators.aggregate import union_all
 from dwspark.plans import derive
 from dwspark.plans import warehouse as wh
 from dwspark.plans.catalog import register
@@ -112,7 +113,7 @@ def q5_missing_values(t):
 
 
 # Q7 / Q8 / Q9 ------------------------------------------------------------------------------------
-PROFILED = ["orders", "lineitem", "customer", "part", "supplier", "events", "documents", "conversations", "labels"]
+PROFILED = ALL
 
 
 def _profile_sql() -> str:
@@ -137,17 +138,25 @@ def q7_profile(t):
     return out.drop("null_by_column")
 
 
-@register("q8_duplicate_key_groups", """
-SELECT 'lineitem' AS table_name, count(*) AS duplicate_groups, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-UNION ALL
-SELECT 'orders', count(*), CAST(coalesce(sum(n - 1), 0) AS BIGINT)
-FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
-""")
+def _null_counts_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS dataset_name, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {_q(c)} IS NULL OR trim(CAST({_q(c)} AS VARCHAR)) = '') AS null_count FROM {table}"
+        for table, cols in DRIVER_COLUMNS.items() for c, _ in cols)
+
+
+@register("q7_null_by_column", _null_counts_sql())
+def q7_null_by_column(t):
+    out = profile.profile_many([(n, t[n], DRIVER_KEYS[n]) for n in PROFILED], "source")
+    return out.select("dataset_name", F.explode("null_by_column").alias("column_name", "null_count"))
+
+
+@register("q8_duplicate_key_groups", " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, count(*) AS duplicate_groups, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows "
+    f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
+    for table, keys in DRIVER_KEYS.items()))
 def q8_duplicate_key_groups(t):
-    return profile.duplicate_keys(t["lineitem"], ["l_orderkey", "l_linenumber"]).select(
-        F.lit("lineitem").alias("table_name"), "*"
-    ).unionByName(profile.duplicate_keys(t["orders"], ["o_orderkey"]).select(F.lit("orders").alias("table_name"), "*"))
+    return union_all(profile.duplicate_keys(t[n], keys).select(F.lit(n).alias("table_name"), "*") for n, keys in DRIVER_KEYS.items())
 
 
 # Q10 ---------------------------------------------------------------------------------------------
@@ -199,7 +208,7 @@ DATE_CONFIG = {"order_date_text": "%Y-%m-%d", "o_orderdate": "%Y-%m-%d", "o_deli
 
 def _examples_sql(values: str, src: str, where: str, k: int = 5) -> str:
     return (f"(SELECT coalesce(string_agg(v, '|' ORDER BY v), '') FROM "
-            f"(SELECT DISTINCT {values} AS v FROM {src} WHERE {where} ORDER BY v LIMIT {k}))")
+            f"(SELECT {values} AS v FROM {src} WHERE {where} ORDER BY v LIMIT {k}))")
 
 
 def _dates_src_sql() -> str:
@@ -279,7 +288,7 @@ def _negative_sql_one(table: str, col: str, src: str, allow: bool = False) -> st
     prepared = derive.sql_numeric_text(col)
     status = "'valid'" if allow else f"CASE WHEN count(*) FILTER (WHERE {num} < 0) = 0 THEN 'valid' ELSE 'invalid' END"
     ex = (f"(SELECT coalesce(string_agg(CAST(CAST(v AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY v), '') FROM "
-          f"(SELECT DISTINCT {num} AS v FROM {src} WHERE {num} < 0 ORDER BY v LIMIT 5))")
+          f"(SELECT {num} AS v FROM {src} WHERE {num} < 0 ORDER BY v LIMIT 5))")
     return f"""
 SELECT '{table}' AS table_name, '{col}' AS column_name, {status} AS status,
        count({num}) AS total_checked, count(*) FILTER (WHERE {num} < 0) AS negative_count,
@@ -379,10 +388,11 @@ def q23_order_reconciliation(t):
 
 
 # Q24 / J9 ----------------------------------------------------------------------------------------
+# The built warehouse against a calendar of the order dates only, so that a shipment after the last
+# order's day is found.
 @register("q24_warehouse_checks", """
 WITH d AS (SELECT CAST(strftime(CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE), '%Y%m%d') AS INTEGER) AS date_id
-           FROM (SELECT min(d) lo, max(d) hi FROM (SELECT CAST(o_orderdate AS DATE) d FROM orders
-                                                 UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)))
+           FROM (SELECT min(CAST(o_orderdate AS DATE)) lo, max(CAST(o_orderdate AS DATE)) hi FROM orders))
 SELECT 'fct_order_date_not_in_dim_date' AS check_name,
        count(*) FILTER (WHERE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM d)) AS failing_count
 FROM orders
@@ -394,18 +404,16 @@ SELECT 'dim_customers_duplicate_natural_keys', count(*) FROM (SELECT c_custkey F
 UNION ALL
 SELECT 'dim_products_duplicate_natural_keys', count(*) FROM (SELECT p_partkey FROM part GROUP BY 1 HAVING count(*) > 1)
 UNION ALL
-SELECT 'orders_as_fact_duplicate_natural_keys', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
+SELECT 'fct_order_duplicate_natural_keys', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
 """)
 def q24_warehouse_checks(t):
-    date_dim = wh.dim_date(t)
-    fo = t["orders"].select(F.col("o_orderkey"), wh.clean.date_key("o_orderdate").alias("order_date"))
-    fi = t["lineitem"].select(wh.clean.date_key("l_shipdate").alias("change_date"))
+    order_days = {"orders": t["orders"], "lineitem": t["lineitem"].where(F.lit(False))}
+    customers, products = wh.dim_customers(t), wh.dim_products(t)
+    orders, inventory = wh.fct_order(t, customers, products), wh.fct_inventory(t, products)
     return checks.warehouse_checks(
-        {"fct_order": (fo, "order_date"), "fct_inventory": (fi, "change_date")},
-        date_dim,
-        {"dim_customers": (t["customer"], ["c_custkey"]), "dim_products": (t["part"], ["p_partkey"]),
-         "orders_as_fact": (fo, ["o_orderkey"])},
-    )
+        {"fct_order": (orders, "order_date"), "fct_inventory": (inventory, "change_date")}, wh.dim_date(order_days),
+        {"dim_customers": (customers, ["nk_customer_id"]), "dim_products": (products, ["nk_product_id"]),
+         "fct_order": (orders, ["nk_order_id"])})
 
 
 @register("j9_orders_without_lines", """
