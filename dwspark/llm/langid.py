@@ -6,7 +6,7 @@ country domain), and the prior of its host. The priors are hierarchically smooth
 text languages are shrunk towards its parent domain's, those towards the whole table's; the reliability
 of declarations and suffixes is estimated from all pages as well, by grouped aggregation.
 
-The trigram models are fitted on a bounded sample of labelled documents (``sample`` rows, those of the
+The trigram models are fitted on a bounded sample of labelled documents (``sample`` of them, those of the
 least hashed ids); every page counts everywhere else. The driver holds the models (languages x buckets
 numbers) and a table of (language x evidence value) counts, both bounded by ``max_languages``.
 
@@ -70,7 +70,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(labelled: DataFrame, sample: int = SAMPLE, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the logarithm of each bucket's smoothed share by language."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.lower("lang").alias("lang"), "text")
-    chosen = rows.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample)
+    # The sample's ids are chosen without the texts, which then come by a join with at most ``sample`` rows.
+    ids = save(rows.select("doc_id").distinct().orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample), "sample")
+    chosen = rows.join(F.broadcast(ids), "doc_id", "left_semi")
     found = chosen.select("lang", "text").mapInArrow(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = found.toPandas()  # at most languages x BUCKETS rows
     languages = sorted(found["lang"].unique())
