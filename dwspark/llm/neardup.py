@@ -10,8 +10,8 @@ on the full sets.
 Equal sets are collapsed first. Buckets of up to ``small`` sets compare all their pairs (a pair goes on
 when its distance is at most ``reach``). In larger buckets each set is first confirmed against one
 central member; if a bucket then still holds several components, its sets go through an exact prefix
-join on rarest shingles with length and position bounds, so no link is lost and no bucket emits all its
-pairs. Candidates inside one component are not confirmed again, as they cannot change it.
+join, with length and position bounds, in an order that puts what the centre lacks first, so no link is
+lost and no bucket emits all its pairs. Candidates inside one component are not confirmed again, as they cannot change it.
 
 Defined results: null and empty texts and texts without words have no shingles and are linked with
 nothing; fewer than five words make one shingle of the whole sequence; equal rows, and repeated ids,
@@ -144,36 +144,46 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return save(both.mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
-            grams, offsets = shingle_sets(*_unpacked(part.column("packed")), WIDTH)
-            size = np.diff(offsets)
-            rep = np.repeat(part.column("rep").to_numpy(), size)
-            for i in range(0, len(grams), 100_000):
+def _prefixes(percent: int):
+    """Of each set, ordered by (in the centre's set, shingle), the first ``n - ceil(percent * n) + 1``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                x, xo = shingle_sets(*_unpacked(part.column("pa")), WIDTH)
+                y, yo = shingle_sets(*_unpacked(part.column("pb")), WIDTH)
+                size, firsts = np.diff(xo), []
+                for i in range(part.num_rows):
+                    own = x[xo[i]:xo[i + 1]]
+                    known = np.isin(own, y[yo[i]:yo[i + 1]])
+                    firsts.append(own[np.lexsort((own, known))][:len(own) + 1 - (len(own) * percent + 99) // 100])
+                times = np.array([len(f) for f in firsts])
+                spread = lambda name: pa.array(np.repeat(part.column(name).to_numpy(), times))  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep[i:i + 100_000]), pa.array(grams[i:i + 100_000].view(np.int64)), pa.array(np.repeat(size, size)[i:i + 100_000])],
-                    ["rep", "gram", "n"])
-
-
-def _prefix_pairs(texts: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
-    """Pairs with different labels that can reach the similarity, exactly: of two such sets, ordered by
-    (frequency, shingle), the first ``n - ceil(percent * n) + 1`` shingles have one in common, and
-    what follows it must be long enough for the overlap that the similarity needs."""
-    grams = save(texts.join(labelled.select("rep"), "rep", "left_semi").mapInArrow(_shingles, "rep long, gram long, n long"), "grams")
-    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = grams.join(often, "gram", "left").groupBy("rep").agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), F.col("gram").alias("gram")))).alias("all"))
-    length = F.expr(f"cast(n - ((n * {percent} + 99) div 100) + 1 as int)")
-    prefix = ranked.select("rep", "n", F.posexplode(F.slice("all", F.lit(1), length)).alias("pos", "x")).where("x.often > 1")
-    prefix = save(prefix.join(labelled, "rep").select("rep", "label", "n", "pos", F.col("x.gram").alias("gram")), "prefix")
+                    [spread("centre"), spread("rep"), spread("label"), pa.array(np.repeat(size, times)),
+                     pa.array(np.concatenate([np.arange(t) for t in times])), pa.array(np.concatenate(firsts).view(np.int64))],
+                    ["centre", "rep", "label", "n", "pos", "gram"])
+
+    return run
+
+
+def _prefix_pairs(texts: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs around one centre, with different labels, that can reach the similarity, exactly: of two
+    such sets, in one common order, the prefixes have a shingle in common, and what follows it must be
+    long enough for the overlap that the similarity needs. In the order, what the centre lacks comes
+    first: the prefix of a set that is far from the centre holds its own rare shingles only."""
+    both = open_.join(texts.select("rep", F.col("packed").alias("pa")), "rep").join(
+        texts.select(F.col("rep").alias("centre"), F.col("packed").alias("pb")), "centre")
+    prefix = save(both.select("centre", "rep", "label", "pa", "pb").mapInArrow(
+        _prefixes(percent), "centre long, rep long, label long, n long, pos long, gram long"), "prefix")
     # Pairs inside a shingle's most frequent label are never needed: one side is always outside it.
-    main = prefix.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("rows")).groupBy("gram").agg(
-        F.max(F.struct("rows", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("gram", "main")
-    one = prefix.join(main, "gram").where("label <> main").select("gram", *[F.col(c).alias(f"{c}1") for c in ("rep", "label", "n", "pos")])
+    key = ["centre", "gram"]
+    main = prefix.groupBy(*key, "label").agg(F.count(F.lit(1)).alias("rows")).groupBy(*key).agg(
+        F.max(F.struct("rows", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select(*key, "main")
+    shared = save(prefix.join(main, key), "shared")
+    one = shared.where("label <> main").select(*key, *[F.col(c).alias(f"{c}1") for c in ("rep", "label", "n", "pos")])
     need = F.expr(f"({percent} * (n + n1) + {99 + percent}) div {100 + percent}")
-    pairs = prefix.join(one, "gram").where(
+    pairs = shared.join(one, key).where(
         (F.col("label") != F.col("label1")) & (F.col("n") * 100 >= F.col("n1") * percent) & (F.col("n1") * 100 >= F.col("n") * percent)
         & (F.least(F.col("n") - F.col("pos"), F.col("n1") - F.col("pos1")) >= need))
     return pairs.select(F.least("rep", "rep1").alias("a"), F.greatest("rep", "rep1").alias("b")).distinct()
@@ -224,11 +234,12 @@ def link(docs: DataFrame, percent: int = PERCENT, small: int = SMALL, reach: int
     # Then what can still join two components.
     second = _confirmed(_across(near, labels), texts, percent)
     labelled = large.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
-    open_ = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    labelled = save(labelled.join(open_, "key", "left_semi").select("rep", "label").distinct(), "open")
+    split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    around = labelled.join(split, "key", "left_semi").join(centre.select("key", F.col("centre.rep").alias("centre")), "key")
+    open_ = save(around.select("centre", "rep", "label").distinct(), "open")
     links = first.unionByName(second)
-    if not labelled.isEmpty():
-        links = links.unionByName(_confirmed(_prefix_pairs(texts, labelled, percent), texts, percent))
+    if not open_.isEmpty():
+        links = links.unionByName(_confirmed(_prefix_pairs(texts, open_, percent), texts, percent))
     labels = components(links)
 
     members = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("n", "c1", "c2", F.coalesce("label", "rep").alias("component_id"))
