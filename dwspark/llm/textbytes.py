@@ -26,7 +26,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE ** i`` and its inverse modulo 2**64 for i below ``n``."""
     if len(_powers.get("up", ())) < max(n, 1):
-        size = max(n, CHUNK + 1)
+        size = max(n, CHUNK + 2)
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -106,6 +106,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple
     case. A text of fewer words than ``width`` has its whole word sequence as its one shingle; a text
     without words has none."""
     offsets = offsets - offsets[0]
+    parts = list(chunks(offsets))
+    if len(parts) > 1:  # working memory follows one part, not all texts
+        done = [shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1], width) for i, j in parts]
+        return np.concatenate([g for g, _ in done]), np.append(0, np.cumsum(np.concatenate([np.diff(at) for _, at in done])))
     low = LOWER[data]
     start, end, first = word_spans(low, offsets)
     words = hash_slices(prefix_hash(low), start, end)
