@@ -22,10 +22,6 @@ def is_present(col: str | Column) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def all_present(columns: Iterable[str]) -> Column:
-    return reduce(lambda a, b: a & b, [is_present(c) for c in columns])
-
-
 def required_rules(columns: Iterable[str]) -> list[Rule]:
     """one rule per required column, ``<col>_missing`` when null."""
     return [(f"{c}_missing", F.col(c).isNotNull()) for c in columns]

@@ -41,16 +41,6 @@ def conditional_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataF
     return df.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(n) for n, p in predicates.items()])
 
 
-# A3 ----------------------------------------------------------------------------------------------
-def group_having(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], having: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(*aggs).filter(having)
-
-
-# A4 ----------------------------------------------------------------------------------------------
-def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*columns).distinct()
-
-
 def count_distinct(df: DataFrame, columns: Sequence[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row with the distinct count of each column. ``approx`` uses HyperLogLog++ (no shuffle,
     fixed memory); exact counting shuffles each column's distinct values."""
@@ -95,11 +85,6 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], order_col: str, value_c
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in value_cols])
 
 
-def latest_value(df: DataFrame, order_col: str, value_col: str) -> DataFrame:
-    """One row: the value of ``value_col`` on the newest row."""
-    return df.agg(F.max_by(value_col, order_col).alias(value_col))
-
-
 # U1 ----------------------------------------------------------------------------------------------
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
