@@ -185,29 +185,35 @@ def duplicate_keys(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
 
 # Q10 ---------------------------------------------------------------------------------------------
 def column_stats(df: DataFrame, table_name: str, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """``(table_name, column_name, missing_count, missing_pct, distinct_count)`` per column in one
-    aggregation. ``missing_pct`` is rounded to 2 places; the distinct count ignores nulls and is
-    exact by default (Catalyst expands the rows once per column and shuffles the distinct values),
-    or HyperLogLog++ (``exact=False``: no shuffle, fixed memory — the choice for very wide tables)."""
+    """``(table_name, column_name, missing_count, missing_pct, distinct_count)`` per column.
+    ``missing_pct`` is rounded to 2 places; the distinct count ignores nulls.
+
+    Exact counts take one branch a column, each a scan of that column alone whose values are made
+    distinct on the map side first (one aggregation of all columns would copy every row once per
+    column). ``exact=False`` counts all columns in one pass without a shuffle (HyperLogLog++)."""
     columns = list(columns or df.columns)
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_rows")]
-    for i, c in enumerate(columns):
-        col = F.col(f"`{c}`")
-        aggs.append(F.count_if(col.isNull()).alias(f"_m{i}"))
-        aggs.append((F.count_distinct(col) if exact else F.approx_count_distinct(col)).alias(f"_d{i}"))
-    row = df.agg(*aggs)
-    entries = [
-        F.struct(
+    rows, missing = F.count(F.lit(1)), lambda c: F.count_if(F.col(f"`{c}`").isNull())
+
+    def entry(c: str, rows: Column, missing: Column, distinct: Column) -> Column:
+        return F.struct(
             F.lit(table_name).alias("table_name"),
             F.lit(c).alias("column_name"),
-            F.col(f"_m{i}").alias("missing_count"),
-            F.round(F.try_divide(F.col(f"_m{i}") * 100.0, F.col("_rows")), 2).alias("missing_pct"),
-            F.col(f"_d{i}").cast("long").alias("distinct_count"),
+            missing.alias("missing_count"),
+            F.round(F.try_divide(missing * 100.0, rows), 2).alias("missing_pct"),
+            distinct.cast("long").alias("distinct_count"),
         )
-        for i, c in enumerate(columns)
-    ]
-    return _long(row, entries)
+
+    if exact:
+        return union_all(
+            df.groupBy(F.col(f"`{c}`").alias("_v")).agg(rows.alias("_n")).agg(
+                F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+                F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("_m"), F.count("_v").alias("_d"),
+            ).select(F.inline(F.array(entry(c, F.col("_rows"), F.col("_m"), F.col("_d")))))
+            for c in columns)
+    aggs = [rows.alias("_rows")]
+    for i, c in enumerate(columns):
+        aggs += [missing(c).alias(f"_m{i}"), F.approx_count_distinct(F.col(f"`{c}`")).alias(f"_d{i}")]
+    return _long(df.agg(*aggs), [entry(c, F.col("_rows"), F.col(f"_m{i}"), F.col(f"_d{i}")) for i, c in enumerate(columns)])
 
 
 # Q11 ---------------------------------------------------------------------------------------------

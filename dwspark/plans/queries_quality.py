@@ -470,11 +470,31 @@ def q19_quality_report(t):
     return checks.quality_report(*_checks(t))
 
 
-@register("q4_profiling_report", None)
+# The nested report as JSON text with its entries in order, so that SQL can spell the same.
+def _report_sql() -> str:
+    types = _column_types_sql()
+    return f"""
+WITH s AS ({" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n, {len(c)} AS k FROM {t}" for t, c in DRIVER_COLUMNS.items())}),
+y AS (SELECT table_name, string_agg(column_name || ':' || data_type, ',' ORDER BY column_name) AS data_types FROM ({types}) GROUP BY 1),
+u AS (SELECT table_name, column_name, string_agg(value, '|' ORDER BY value) AS v FROM ({_unique_sql()}) WHERE status = 'ok' GROUP BY 1, 2),
+w AS (SELECT table_name, string_agg(column_name || ':' || v, ',' ORDER BY column_name) AS unique_values FROM u GROUP BY 1)
+SELECT s.table_name, s.n AS row_count, s.k AS column_count, y.data_types, w.unique_values
+FROM s LEFT JOIN y USING (table_name) LEFT JOIN w USING (table_name)
+"""
+
+
+@register("q4_profiling_report", _report_sql())
 def q4_profiling_report(t):
     tables = {n: t[n] for n in ALL}
     spark = t["orders"].sparkSession
-    return checks.profiling_report(profile.table_shapes(tables), profile.column_types(spark, tables), profile.unique_values(tables, UNIQUE_CONFIG))
+    report = checks.profiling_report(profile.table_shapes(tables), profile.column_types(spark, tables), profile.unique_values(tables, UNIQUE_CONFIG))
+
+    def listed(entries, show):
+        return F.array_join(F.transform(F.array_sort(F.map_entries(entries)), lambda e: F.concat(e["key"], F.lit(":"), show(e["value"]))), ",")
+
+    return report.select(
+        "table_name", F.col("shape.rows").alias("row_count"), F.col("shape.columns").alias("column_count"),
+        listed("data_types", lambda v: v).alias("data_types"), listed("unique_values", lambda v: F.array_join(v, "|")).alias("unique_values"))
 
 
 def _sql_text(x) -> str:
