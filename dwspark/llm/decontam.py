@@ -6,7 +6,11 @@ in a row are one) become typed placeholders, all other tokens their lower-case f
 tokens of every document are matched by hash with the windows of every benchmark item, so a question
 whose numbers and names were exchanged still meets its original. A match counts when the slots are
 consistent: over all windows of a document and an item at one alignment, equal benchmark values stand
-for equal document values, and different benchmark names for different ones.
+for equal document values, and different benchmark names for different ones. As a capitalised word is a
+literal where it opens a text, an item's first window is also indexed as it reads after other words.
+
+Beside the template, every window of 13 plain tokens is matched word for word, whatever stands before it
+and in upper or lower case (a word all in capitals is another word), unless its alignment is inconsistent.
 
 Only hits leave the scan: the benchmark's window hashes travel to the tasks in blocks of at most
 ``block_hashes`` (8 bytes each); a larger benchmark takes several passes over the documents.
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwspark.llm.tables import save
-from dwspark.llm.textbytes import LOWER, chunks, column, hash_slices, prefix_hash, window_sums, word_spans
+from dwspark.llm.textbytes import LOWER, chunks, column, hash_slices, mix, prefix_hash, window_sums, word_spans
 
 WINDOW = 13
 LITERALS = 60
@@ -39,6 +43,7 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml cl l s ms min h hr day days
          "kilograms pound pounds ounce ounces liter liters litre litres degree degrees percent pct usd eur gbp dollar dollars euro euros "
          "cent cents k kb mb gb tb hz khz mhz ghz w kw mw v kv a ma j kj n kn pa kpa bar mph kmh").split()
 NUMBER, UNIT, NAME = 1, 2, 3
+PLAIN = np.uint64(0x506C61696E)  # sets the hashes of plain windows apart
 _KINDS = np.array([0, 0x6E756D626572, 0x756E6974, 0x6E616D65], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 IS_GAP = np.ones(256, bool)
@@ -55,9 +60,10 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(hash_slices(prefix_hash(data), np.append(0, ends[:-1]), ends))
 
 
-def canonical(data: np.ndarray, offsets: np.ndarray):
+def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     """Template tokens of texts that lie side by side: their hashes, kinds (0: literal), starts, ends,
-    and each text's first token."""
+    and each text's first token; then the plain tokens' hashes, each text's first plain token, and the
+    plain place of each template token. Without ``opening`` a text's first word opens no sentence."""
     digit = IS_DIGIT[data]
     gap = IS_GAP[data]
     inner = np.flatnonzero((data == 46) | (data == 44))
@@ -74,10 +80,10 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     hashes = hash_slices(prefix_hash(low), start, end)
     n = len(start)
     if not n:
-        return hashes, np.zeros(0, np.int8), start, end, first
+        return hashes, np.zeros(0, np.int8), start, end, first, hashes, first, np.zeros(0, np.int64)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     opens = np.zeros(n, bool)  # begins a text or a sentence
-    opens[first[:-1][np.diff(first) > 0]] = True
+    opens[first[:-1][np.diff(first) > 0]] = opening
     sentence = np.append(0, np.cumsum(ENDS_SENTENCE[data] & gap))
     opens[1:] |= sentence[start[1:]] > sentence[end[:-1]]
     kind = np.zeros(n, np.int8)
@@ -86,18 +92,20 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     upper = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     small = np.append(0, np.cumsum(((data >= 97) & (data <= 122)) | (second_byte & (data >= 0xA0))))
     kind[upper & (small[end] > small[start]) & ~opens & (kind == 0)] = NAME  # a word all in capitals is a literal
+    capitals = upper & (small[end] == small[start]) & (end - start > 1 + (head == 0xC3))
+    plain = np.where(capitals, mix(hashes + _KINDS[NAME]), hashes)
     after = np.append(False, (kind[:-1] == NUMBER) & (text[1:] == text[:-1]))
     unit = _unit_hashes()
     at = np.flatnonzero(after & (kind == 0))
     kind[at[unit[np.minimum(np.searchsorted(unit, hashes[at]), len(unit) - 1)] == hashes[at]]] = UNIT
     # Names in a row are one slot.
-    inside = np.append(False, (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:])
+    inside = np.append(False, (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:] & (text[1:] == text[:-1]))
     keep = ~inside
     last = np.append(np.flatnonzero(keep)[1:] - 1, n - 1)
     kept_before = np.append(0, np.cumsum(keep))
     hashes, kind = hashes[keep], kind[keep]
     hashes = np.where(kind > 0, _KINDS[kind], hashes)
-    return hashes, kind, start[keep], end[last], kept_before[first]
+    return hashes, kind, start[keep], end[last], kept_before[first], plain, first, np.flatnonzero(keep)
 
 
 def _windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,12 +122,15 @@ def _slots(data: bytes, kind, start, end, a: int, b: int) -> list[str]:
     return [f"{k}:{kind[k + a]}:" + data[start[k + a]:end[k + a]].decode("utf-8", "replace").lower() for k in range(b - a) if kind[k + a]]
 
 
-WINDOWS = "id long, place long, width int, hash long, slots array<string>"
+# ``at`` is the plain place of the window, ``plain`` tells windows of plain tokens from those of template
+# tokens, and ``word`` is the word that the first slot must hold.
+WINDOWS = "id long, place long, width int, hash long, slots array<string>, at long, plain boolean, word string"
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots"])
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots", "at", "plain", "word"])
 
 
 def _item_windows(window: int, literals: int):
@@ -129,9 +140,21 @@ def _item_windows(window: int, literals: int):
             ids = batch.column("id").to_pylist()
             for i, j in chunks(offsets):
                 part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                hashes, kind, start, end, first = canonical(part, at)
+                hashes, kind, start, end, first, plain, first_plain, origin = canonical(part, at)
+                later = canonical(part, at, opening=False)
                 raw, out = part.tobytes(), []
                 for row in range(j - i):
+                    a, b = int(first_plain[row]), int(first_plain[row + 1])
+                    width = min(window, b - a)
+                    if width:
+                        grams = window_sums(plain[a:b], width) ^ np.uint64(width) ^ PLAIN
+                        out += [(ids[i + row], k, width, h, [], k, True, None) for k, h in enumerate(grams.view(np.int64).tolist())]
+                    a, b = int(later[4][row]), int(later[4][row + 1])
+                    width = min(window, b - a)
+                    if width and later[1][a] == NAME and 100 * (1 + int((later[1][a:a + width] == 0).sum())) >= literals * width:
+                        h = window_sums(later[0][a:a + width], width) ^ np.uint64(width)
+                        word = raw[start[first[row]]:end[first[row]]].decode("utf-8", "replace").lower()
+                        out.append((ids[i + row], 0, width, int(h.view(np.int64)[0]), _slots(raw, *later[1:4], a, a + width), 0, False, word))
                     a, b = int(first[row]), int(first[row + 1])
                     width = min(window, b - a)
                     if not width:
@@ -139,13 +162,14 @@ def _item_windows(window: int, literals: int):
                     grams = window_sums(hashes[a:b], width) ^ np.uint64(width)
                     for k, h in enumerate(grams.view(np.int64).tolist()):
                         if 100 * int((kind[a + k:a + k + width] == 0).sum()) >= literals * width:
-                            out.append((ids[i + row], k, width, h, _slots(raw, kind, start, end, a + k, a + k + width)))
+                            out.append((ids[i + row], k, width, h, _slots(raw, kind, start, end, a + k, a + k + width),
+                                        int(origin[a + k] - origin[a]), False, None))
                 yield _batch(out)
 
     return run
 
 
-def _hits(wanted: np.ndarray, widths: list[int]):
+def _hits(wanted: np.ndarray, widths: list[tuple[bool, int]]):
     """Windows of the documents whose hash is among ``wanted`` (sorted)."""
     bits = np.zeros(1 << 20, bool)
     bits[(wanted >> np.uint64(44)).astype(np.int64)] = True
@@ -156,16 +180,22 @@ def _hits(wanted: np.ndarray, widths: list[int]):
             ids = batch.column("id").to_pylist()
             for i, j in chunks(offsets):
                 part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                hashes, kind, start, end, first = canonical(part, at)
+                hashes, kind, start, end, first, plain, first_plain, origin = canonical(part, at)
                 raw, out = None, []
-                for width in widths:
-                    grams, owner = _windows(hashes, first, width)
+                for is_plain, width in widths:
+                    grams, owner = _windows(plain, first_plain, width) if is_plain else _windows(hashes, first, width)
+                    grams = grams ^ PLAIN if is_plain else grams
                     hit = np.flatnonzero(bits[(grams >> np.uint64(44)).astype(np.int64)] & (owner >= 0))
                     place = np.minimum(np.searchsorted(wanted, grams[hit]), len(wanted) - 1)
                     for k in hit[wanted[place] == grams[hit]].tolist():
                         raw = raw or part.tobytes()
-                        row = int(owner[k])
-                        out.append((ids[i + row], k - int(first[row]), width, int(grams[k:k + 1].view(np.int64)[0]), _slots(raw, kind, start, end, k, k + width)))
+                        row, h = int(owner[k]), int(grams[k:k + 1].view(np.int64)[0])
+                        if is_plain:
+                            place = k - int(first_plain[row])
+                            out.append((ids[i + row], place, width, h, [], place, True, None))
+                        else:
+                            out.append((ids[i + row], k - int(first[row]), width, h, _slots(raw, kind, start, end, k, k + width),
+                                        int(origin[k] - first_plain[row]), False, None))
                 if out:
                     yield _batch(out)
 
@@ -175,24 +205,30 @@ def _hits(wanted: np.ndarray, widths: list[int]):
 def matches(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, block_hashes: int = BLOCK_HASHES,
 ) -> DataFrame:
-    """doc_id, item_id, ``n_windows`` (of the document, that match the item consistently),
-    ``item_windows`` (indexed ones) and ``exact`` (all slot values agree at some alignment)."""
+    """doc_id, item_id, ``n_windows`` (of the document, that match the item consistently or word for word,
+    whichever are more), ``item_windows`` (indexed ones, likewise) and ``exact`` (all slot values agree at
+    some alignment, or there are only word-for-word matches)."""
     items = save(benchmark.select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_item_windows(window, literals), WINDOWS), "items")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     total = items.select("hash").distinct().count()
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most ``window`` values
+    widths = sorted((r["plain"], r["width"]) for r in items.select("plain", "width").distinct().collect())  # at most ``2 * window`` values
     blocks = max(1, -(-total // block_hashes))
     found = None
     for b in range(blocks):
         own = items.select("hash").distinct().where(F.pmod("hash", F.lit(blocks)) == b).toPandas()["hash"]
         wanted = np.sort(own.to_numpy(np.int64).view(np.uint64))
         part = rows.mapInArrow(_hits(wanted, widths), WINDOWS) if len(wanted) else rows.limit(0).select(
-            "id", *[F.lit(None).cast(t).alias(c) for c, t in (("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"))])
+            "id", *[F.lit(None).cast(t).alias(c) for c, t in (
+                ("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"), ("at", "long"), ("plain", "boolean"), ("word", "string"))])
         found = part if found is None else found.unionByName(part)
     hits = save(found, "hits")
 
-    both = hits.join(items.select("hash", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots")), "hash")
-    both = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumnRenamed("id", "doc_id")
+    both = hits.drop("word").join(items.select(
+        "hash", "word", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
+    both = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("at_shift", F.col("at") - F.col("item_at")).withColumnRenamed("id", "doc_id")
+    first = F.split(F.element_at("slots", 1), ":", 3)[2]
+    both = both.where(F.col("word").isNull() | F.array_contains(F.split(first, r"[^\p{L}\p{Nd}]+"), F.col("word")))
+    plain, both = both.where("plain"), both.where("NOT plain")
     # One slot of an alignment is seen by several windows; its place in the item names it.
     slots = both.select("doc_id", "item_id", "shift", "item_place", F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
     slots = slots.select(
@@ -204,8 +240,12 @@ def matches(
     good = both.join(broken, ["doc_id", "item_id", "shift"], "left_anti")
     aligned = good.groupBy("doc_id", "item_id", "shift").agg(
         F.count(F.lit(1)).alias("n"), F.min((F.col("slots") == F.col("item_slots")).cast("int")).alias("same"))
-    sizes = items.groupBy("id").agg(F.count(F.lit(1)).alias("item_windows")).withColumnRenamed("id", "item_id")
-    out = aligned.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows"), (F.max("same") == 1).alias("exact"))
+    vetoed = both.join(broken, ["doc_id", "item_id", "shift"], "left_semi").select("doc_id", "item_id", "at_shift").distinct()
+    words = plain.join(vetoed, ["doc_id", "item_id", "at_shift"], "left_anti").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_plain"))
+    sizes = items.where("word IS NULL").groupBy("id").agg(
+        F.greatest(F.sum(F.col("plain").cast("long")), F.sum((~F.col("plain")).cast("long"))).alias("item_windows")).withColumnRenamed("id", "item_id")
+    out = aligned.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n"), (F.max("same") == 1).alias("same")).join(words, ["doc_id", "item_id"], "full")
+    out = out.select("doc_id", "item_id", F.greatest("n", "n_plain").alias("n_windows"), F.coalesce("same", F.lit(True)).alias("exact"))
     return out.join(sizes, "item_id").select("doc_id", "item_id", "n_windows", "item_windows", "exact")
 
 

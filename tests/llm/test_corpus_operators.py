@@ -208,6 +208,20 @@ def test_decontam_edges(spark):
         assert decontam.matches(d, i).count() == 0
 
 
+@pytest.mark.parametrize("text, exact", [
+    ("they say Calculate the sum of all prices paid by 3 buyers in the shop", True),
+    ("they say Calculate the sum of all prices paid by 5 buyers in the shop", False),
+    ("so Alice Calculate the sum of all prices paid by 5 buyers in the shop", False),
+    ("they say Determine the sum of all prices paid by 5 buyers in the shop", None),
+    ("calculate The Sum of all Prices paid by 3 buyers in the shop", True),
+])
+def test_decontam_middle_of_a_line_and_case(spark, text, exact):
+    """An item of one window, after plain and capitalised words and in another case."""
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "Calculate the sum of all prices paid by 3 buyers in the shop")], "item_id long, text string")
+    assert [r["exact"] for r in decontam.matches(docs, items).collect()] == ([] if exact is None else [exact])
+
+
 # Tool calls ----------------------------------------------------------------------------------------
 TOOL = {"t": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 1}, "x": {}}, "additionalProperties": False}}
 
