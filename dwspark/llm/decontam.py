@@ -10,14 +10,15 @@ for equal document values, and different benchmark names for different ones. As
 literal where it opens a text, an item's first window is also indexed as it reads after other words.
 
 Beside the template, every window of 13 plain tokens is matched word for word, whatever stands before it
-and in upper or lower case (a word all in capitals is another word), unless its alignment is inconsistent.
+and in upper or lower case (a word all in capitals is another word), unless its alignment is inconsistent;
+windows of less than ``literals`` percent literal tokens count in any alignment, as all their values agree.
 
 Only hits leave the scan: the benchmark's window hashes travel to the tasks in blocks of at most
 ``block_hashes`` (8 bytes each); a larger benchmark takes several passes over the documents.
 
 Defined results: null and empty texts have no windows; an item of fewer than 13 tokens is one window of
-its own length; a window with less than ``literals`` percent literal tokens is not indexed, as
-placeholders alone prove nothing; equal items are reported each; repeated documents are reported each;
+its own length; a template window with less than ``literals`` percent literal tokens is not indexed, as
+placeholders alone prove nothing, but its plain windows are; equal items are reported each; repeated documents are reported each;
 an empty table gives an empty result; other columns are ignored by :func:`matches` and kept by
 :func:`keep_clean`.
 """
@@ -123,14 +124,15 @@ def _slots(data: bytes, kind, start, end, a: int, b: int) -> list[str]:
 
 
 # ``at`` is the plain place of the window, ``plain`` tells windows of plain tokens from those of template
-# tokens, and ``word`` is the word that the first slot must hold.
-WINDOWS = "id long, place long, width int, hash long, slots array<string>, at long, plain boolean, word string"
+# tokens, ``word`` is the word that the first slot must hold, and ``few`` marks plain windows with few
+# literal tokens.
+WINDOWS = "id long, place long, width int, hash long, slots array<string>, at long, plain boolean, word string, few boolean"
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.string())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.string(), pa.bool_())
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots", "at", "plain", "word"])
+        [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots", "at", "plain", "word", "few"])
 
 
 def _item_windows(window: int, literals: int):
@@ -141,6 +143,9 @@ def _item_windows(window: int, literals: int):
             for i, j in chunks(offsets):
                 part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
                 hashes, kind, start, end, first, plain, first_plain, origin = canonical(part, at)
+                literal = np.zeros(len(plain) + 1, np.int64)  # literal tokens before each plain token
+                literal[origin + 1] = kind == 0
+                literal = np.cumsum(literal)
                 later = canonical(part, at, opening=False)
                 raw, out = part.tobytes(), []
                 for row in range(j - i):
@@ -148,13 +153,14 @@ def _item_windows(window: int, literals: int):
                     width = min(window, b - a)
                     if width:
                         grams = window_sums(plain[a:b], width) ^ np.uint64(width) ^ PLAIN
-                        out += [(ids[i + row], k, width, h, [], k, True, None) for k, h in enumerate(grams.view(np.int64).tolist())]
+                        few = 100 * (literal[a + width:b + 1] - literal[a:b + 1 - width]) < literals * width
+                        out += [(ids[i + row], k, width, h, [], k, True, None, bool(few[k])) for k, h in enumerate(grams.view(np.int64).tolist())]
                     a, b = int(later[4][row]), int(later[4][row + 1])
                     width = min(window, b - a)
-                    if width and later[1][a] == NAME and 100 * (1 + int((later[1][a:a + width] == 0).sum())) >= literals * width:
+                    if width and later[1][a] == NAME and 100 * (1 + int((later[1][a:a + width] == 0).sum())) >= literals * window:
                         h = window_sums(later[0][a:a + width], width) ^ np.uint64(width)
                         word = raw[start[first[row]]:end[first[row]]].decode("utf-8", "replace").lower()
-                        out.append((ids[i + row], 0, width, int(h.view(np.int64)[0]), _slots(raw, *later[1:4], a, a + width), 0, False, word))
+                        out.append((ids[i + row], 0, width, int(h.view(np.int64)[0]), _slots(raw, *later[1:4], a, a + width), 0, False, word, False))
                     a, b = int(first[row]), int(first[row + 1])
                     width = min(window, b - a)
                     if not width:
@@ -163,7 +169,7 @@ def _item_windows(window: int, literals: int):
                     for k, h in enumerate(grams.view(np.int64).tolist()):
                         if 100 * int((kind[a + k:a + k + width] == 0).sum()) >= literals * width:
                             out.append((ids[i + row], k, width, h, _slots(raw, kind, start, end, a + k, a + k + width),
-                                        int(origin[a + k] - origin[a]), False, None))
+                                        int(origin[a + k] - origin[a]), False, None, False))
                 yield _batch(out)
 
     return run
@@ -192,10 +198,10 @@ def _hits(wanted: np.ndarray, widths: list[tuple[bool, int]]):
                         row, h = int(owner[k]), int(grams[k:k + 1].view(np.int64)[0])
                         if is_plain:
                             place = k - int(first_plain[row])
-                            out.append((ids[i + row], place, width, h, [], place, True, None))
+                            out.append((ids[i + row], place, width, h, [], place, True, None, False))
                         else:
                             out.append((ids[i + row], k - int(first[row]), width, h, _slots(raw, kind, start, end, k, k + width),
-                                        int(origin[k] - first_plain[row]), False, None))
+                                        int(origin[k] - first_plain[row]), False, None, False))
                 if out:
                     yield _batch(out)
 
@@ -219,12 +225,12 @@ def matches(
         wanted = np.sort(own.to_numpy(np.int64).view(np.uint64))
         part = rows.mapInArrow(_hits(wanted, widths), WINDOWS) if len(wanted) else rows.limit(0).select(
             "id", *[F.lit(None).cast(t).alias(c) for c, t in (
-                ("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"), ("at", "long"), ("plain", "boolean"), ("word", "string"))])
+                ("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"), ("at", "long"), ("plain", "boolean"), ("word", "string"), ("few", "boolean"))])
         found = part if found is None else found.unionByName(part)
     hits = save(found, "hits")
 
-    both = hits.drop("word").join(items.select(
-        "hash", "word", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
+    both = hits.drop("word", "few").join(items.select(
+        "hash", "word", "few", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
     both = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("at_shift", F.col("at") - F.col("item_at")).withColumnRenamed("id", "doc_id")
     first = F.split(F.element_at("slots", 1), ":", 3)[2]
     both = both.where(F.col("word").isNull() | F.array_contains(F.split(first, r"[^\p{L}\p{Nd}]+"), F.col("word")))
@@ -241,7 +247,8 @@ def matches(
     aligned = good.groupBy("doc_id", "item_id", "shift").agg(
         F.count(F.lit(1)).alias("n"), F.min((F.col("slots") == F.col("item_slots")).cast("int")).alias("same"))
     vetoed = both.join(broken, ["doc_id", "item_id", "shift"], "left_semi").select("doc_id", "item_id", "at_shift").distinct()
-    words = plain.join(vetoed, ["doc_id", "item_id", "at_shift"], "left_anti").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_plain"))
+    words = plain.where("NOT few").join(vetoed, ["doc_id", "item_id", "at_shift"], "left_anti").unionByName(
+        plain.where("few")).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_plain"))
     sizes = items.where("word IS NULL").groupBy("id").agg(
         F.greatest(F.sum(F.col("plain").cast("long")), F.sum((~F.col("plain")).cast("long"))).alias("item_windows")).withColumnRenamed("id", "item_id")
     out = aligned.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n"), (F.max("same") == 1).alias("same")).join(words, ["doc_id", "item_id"], "full")

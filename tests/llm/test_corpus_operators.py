@@ -222,6 +222,15 @@ def test_decontam_middle_of_a_line_and_case(spark, text, exact):
     assert [r["exact"] for r in decontam.matches(docs, items).collect()] == ([] if exact is None else [exact])
 
 
+def test_decontam_items_of_few_literals(spark):
+    """Numbers, units and names: a word-for-word copy is found, one with other values is not."""
+    texts = {1: "1 kg 2 kg 3 kg 4 kg 5 kg 6 kg 7 kg 8 kg", 2: "The Old Man And The Sea By Ernest Hemingway Of Oak Park In Illinois"}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(10 * i + k, v) for i, t in texts.items() for k, v in enumerate((t, "so they say " + t + " and more", t.replace("4", "9").replace("Sea", "Lake")))]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(10, 1), (11, 1), (20, 2), (21, 2)}
+
+
 # Tool calls ----------------------------------------------------------------------------------------
 TOOL = {"t": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 1}, "x": {}}, "additionalProperties": False}}
 
