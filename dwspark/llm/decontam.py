@@ -17,7 +17,9 @@ Only hits leave the scan: the benchmark's window hashes travel to the tasks in b
 ``block_hashes`` (8 bytes each); a larger benchmark takes several passes over the documents.
 
 Defined results: null and empty texts have no windows; an item of fewer than 13 tokens is one window of
-its own length; a template window with less than ``literals`` percent literal tokens is not indexed, as
+its own length, whose template is indexed if it has as many literal tokens as a full window needs (8);
+with fewer than 8 words besides numbers and units it is only matched word for word, by a whole line or
+sentence (or several) of a document; a template window with less than ``literals`` percent literal tokens is not indexed, as
 placeholders alone prove nothing, but its plain windows are; equal items are reported each; repeated documents are reported each;
 an empty table gives an empty result; other columns are ignored by :func:`matches` and kept by
 :func:`keep_clean`.
@@ -63,8 +65,8 @@ def _unit_hashes() -> np.ndarray:
 
 def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     """Template tokens of texts that lie side by side: their hashes, kinds (0: literal), starts, ends,
-    and each text's first token; then the plain tokens' hashes, each text's first plain token, and the
-    plain place of each template token. Without ``opening`` a text's first word opens no sentence."""
+    and each text's first token; then the plain tokens' hashes, each text's first plain token, the plain
+    place of each template token, and which plain tokens open a text or sentence. Without ``opening`` a text's first word opens no sentence."""
     digit = IS_DIGIT[data]
     gap = IS_GAP[data]
     inner = np.flatnonzero((data == 46) | (data == 44))
@@ -81,7 +83,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     hashes = hash_slices(prefix_hash(low), start, end)
     n = len(start)
     if not n:
-        return hashes, np.zeros(0, np.int8), start, end, first, hashes, first, np.zeros(0, np.int64)
+        return hashes, np.zeros(0, np.int8), start, end, first, hashes, first, np.zeros(0, np.int64), np.zeros(0, bool)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     opens = np.zeros(n, bool)  # begins a text or a sentence
     opens[first[:-1][np.diff(first) > 0]] = opening
@@ -106,7 +108,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     kept_before = np.append(0, np.cumsum(keep))
     hashes, kind = hashes[keep], kind[keep]
     hashes = np.where(kind > 0, _KINDS[kind], hashes)
-    return hashes, kind, start[keep], end[last], kept_before[first], plain, first, np.flatnonzero(keep)
+    return hashes, kind, start[keep], end[last], kept_before[first], plain, first, np.flatnonzero(keep), opens
 
 
 def _windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,15 +126,15 @@ def _slots(data: bytes, kind, start, end, a: int, b: int) -> list[str]:
 
 
 # ``at`` is the plain place of the window, ``plain`` tells windows of plain tokens from those of template
-# tokens, ``word`` is the word that the first slot must hold, and ``few`` marks plain windows with few
-# literal tokens.
-WINDOWS = "id long, place long, width int, hash long, slots array<string>, at long, plain boolean, word string, few boolean"
+# tokens, ``word`` is the word that the first slot must hold, ``few`` marks plain windows with few literal
+# tokens, and ``alone`` those that must be whole lines or sentences (items) or are (documents).
+WINDOWS = "id long, place long, width int, hash long, slots array<string>, at long, plain boolean, word string, few boolean, alone boolean"
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.string(), pa.bool_())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.bool_(), pa.string(), pa.bool_(), pa.bool_())
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots", "at", "plain", "word", "few"])
+        [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["id", "place", "width", "hash", "slots", "at", "plain", "word", "few", "alone"])
 
 
 def _item_windows(window: int, literals: int):
@@ -142,7 +144,7 @@ def _item_windows(window: int, literals: int):
             ids = batch.column("id").to_pylist()
             for i, j in chunks(offsets):
                 part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                hashes, kind, start, end, first, plain, first_plain, origin = canonical(part, at)
+                hashes, kind, start, end, first, plain, first_plain, origin, _ = canonical(part, at)
                 literal = np.zeros(len(plain) + 1, np.int64)  # literal tokens before each plain token
                 literal[origin + 1] = kind == 0
                 literal = np.cumsum(literal)
@@ -154,22 +156,24 @@ def _item_windows(window: int, literals: int):
                     if width:
                         grams = window_sums(plain[a:b], width) ^ np.uint64(width) ^ PLAIN
                         few = 100 * (literal[a + width:b + 1] - literal[a:b + 1 - width]) < literals * width
-                        out += [(ids[i + row], k, width, h, [], k, True, None, bool(few[k])) for k, h in enumerate(grams.view(np.int64).tolist())]
+                        words = width - int(np.isin(kind[first[row]:first[row + 1]], (NUMBER, UNIT)).sum())
+                        alone = width < window and 100 * words < literals * window
+                        out += [(ids[i + row], k, width, h, [], k, True, None, bool(few[k]), alone) for k, h in enumerate(grams.view(np.int64).tolist())]
                     a, b = int(later[4][row]), int(later[4][row + 1])
                     width = min(window, b - a)
                     if width and later[1][a] == NAME and 100 * (1 + int((later[1][a:a + width] == 0).sum())) >= literals * window:
                         h = window_sums(later[0][a:a + width], width) ^ np.uint64(width)
                         word = raw[start[first[row]]:end[first[row]]].decode("utf-8", "replace").lower()
-                        out.append((ids[i + row], 0, width, int(h.view(np.int64)[0]), _slots(raw, *later[1:4], a, a + width), 0, False, word, False))
+                        out.append((ids[i + row], 0, width, int(h.view(np.int64)[0]), _slots(raw, *later[1:4], a, a + width), 0, False, word, False, False))
                     a, b = int(first[row]), int(first[row + 1])
                     width = min(window, b - a)
                     if not width:
                         continue
                     grams = window_sums(hashes[a:b], width) ^ np.uint64(width)
                     for k, h in enumerate(grams.view(np.int64).tolist()):
-                        if 100 * int((kind[a + k:a + k + width] == 0).sum()) >= literals * width:
+                        if 100 * int((kind[a + k:a + k + width] == 0).sum()) >= literals * window:
                             out.append((ids[i + row], k, width, h, _slots(raw, kind, start, end, a + k, a + k + width),
-                                        int(origin[a + k] - origin[a]), False, None, False))
+                                        int(origin[a + k] - origin[a]), False, None, False, False))
                 yield _batch(out)
 
     return run
@@ -186,7 +190,9 @@ def _hits(wanted: np.ndarray, widths: list[tuple[bool, int]]):
             ids = batch.column("id").to_pylist()
             for i, j in chunks(offsets):
                 part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                hashes, kind, start, end, first, plain, first_plain, origin = canonical(part, at)
+                hashes, kind, start, end, first, plain, first_plain, origin, opens = canonical(part, at)
+                border = np.append(opens, True)  # a line or sentence ends before the token
+                border[first_plain] = True
                 raw, out = None, []
                 for is_plain, width in widths:
                     grams, owner = _windows(plain, first_plain, width) if is_plain else _windows(hashes, first, width)
@@ -198,10 +204,10 @@ def _hits(wanted: np.ndarray, widths: list[tuple[bool, int]]):
                         row, h = int(owner[k]), int(grams[k:k + 1].view(np.int64)[0])
                         if is_plain:
                             place = k - int(first_plain[row])
-                            out.append((ids[i + row], place, width, h, [], place, True, None, False))
+                            out.append((ids[i + row], place, width, h, [], place, True, None, False, bool(border[k] and border[k + width])))
                         else:
                             out.append((ids[i + row], k - int(first[row]), width, h, _slots(raw, kind, start, end, k, k + width),
-                                        int(origin[k] - first_plain[row]), False, None, False))
+                                        int(origin[k] - first_plain[row]), False, None, False, False))
                 if out:
                     yield _batch(out)
 
@@ -225,15 +231,15 @@ def matches(
         wanted = np.sort(own.to_numpy(np.int64).view(np.uint64))
         part = rows.mapInArrow(_hits(wanted, widths), WINDOWS) if len(wanted) else rows.limit(0).select(
             "id", *[F.lit(None).cast(t).alias(c) for c, t in (
-                ("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"), ("at", "long"), ("plain", "boolean"), ("word", "string"), ("few", "boolean"))])
+                ("place", "long"), ("width", "int"), ("hash", "long"), ("slots", "array<string>"), ("at", "long"), ("plain", "boolean"), ("word", "string"), ("few", "boolean"), ("alone", "boolean"))])
         found = part if found is None else found.unionByName(part)
     hits = save(found, "hits")
 
     both = hits.drop("word", "few").join(items.select(
-        "hash", "word", "few", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
+        "hash", "word", "few", F.col("alone").alias("item_alone"), F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
     both = both.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("at_shift", F.col("at") - F.col("item_at")).withColumnRenamed("id", "doc_id")
     first = F.split(F.element_at("slots", 1), ":", 3)[2]
-    both = both.where(F.col("word").isNull() | F.array_contains(F.split(first, r"[^\p{L}\p{Nd}]+"), F.col("word")))
+    both = both.where(F.col("word").isNull() | F.array_contains(F.split(first, r"[^\p{L}\p{Nd}]+"), F.col("word"))).where("alone OR NOT item_alone")
     plain, both = both.where("plain"), both.where("NOT plain")
     # One slot of an alignment is seen by several windows; its place in the item names it.
     slots = both.select("doc_id", "item_id", "shift", "item_place", F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))

@@ -231,6 +231,14 @@ def test_decontam_items_of_few_literals(spark):
     assert got == {(10, 1), (11, 1), (20, 2), (21, 2)}
 
 
+def test_decontam_short_items_are_whole_lines_or_sentences(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "What is 3?"), (3, "We counted the red birds over the old lake")], "item_id long, text string")
+    rows = [(1, "oh yes it is"), (2, "oh\nYes\nit is"), (3, "so what is 4?"), (4, "What is 4?"), (5, "Now. What is 3? Well"), (6, "yes"),
+            (7, "then We counted the red birds over the old lake again"), (8, "No. What is 3 and 4?")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(2, 1), (5, 2), (6, 1), (7, 3)}
+
+
 # Tool calls ----------------------------------------------------------------------------------------
 TOOL = {"t": {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 1}, "x": {}}, "additionalProperties": False}}
 
