@@ -4,9 +4,9 @@ Pages of one host share a template. Each page's tree of block elements is aligne
 host's first page (smallest page_id) by simple tree matching: equal labels match, children match in
 order, and the alignment with the most matched nodes wins. Over all pages of the host, a node whose own
 text is the same in at least half of them is template; nodes with varying text are content slots. The
-content slot of the host is the container that the mass of varying, unlinked text leads down to; its
-blocks, in page order and without boilerplate regions, are the page's main text. A page whose alignment
-lacks that slot uses its own article or main element, or the container that its own text leads down to.
+content slot of the host is the deepest container that holds all varying, unlinked text outside boilerplate
+regions, but none below an article or main element; its blocks, in page order and without boilerplate regions, are the page's main text. A page whose alignment
+lacks that slot uses its own article or main element, or the deepest container of all its own text.
 
 Only the reference trees and one slot number a host are joined to the pages, read from written tables,
 so that Spark broadcasts them while their files are small and otherwise joins by host. Counts by host are
@@ -175,17 +175,18 @@ class Page:
 
 
 def lead(parent: list[int], tag: list[str], mass: list[int]) -> int:
-    """From the root down to the container whose children share the text: a step is taken while one
-    child container has at least 70 % of it."""
+    """From the root down to the deepest container that holds all of the text, at most to an article or
+    main element: a step is taken while one child container leaves none behind."""
     below: dict[int, list[int]] = {}
     for i, p in enumerate(parent):
         below.setdefault(p, []).append(i)
     at = 0
-    while True:
-        steps = [i for i in below.get(at, []) if tag[i] not in TEXT_BLOCKS and 10 * mass[i] >= 7 * mass[at] > 0]
+    while tag[at] not in ("article", "main"):
+        steps = [i for i in below.get(at, []) if tag[i] not in TEXT_BLOCKS and mass[i] == mass[at] > 0]
         if not steps:
             return at
-        at = max(steps, key=lambda i: mass[i])
+        at = steps[0]
+    return at
 
 
 def align(page: Page, labels: list[str], parents: list[int]) -> list[int]:

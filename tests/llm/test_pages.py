@@ -40,6 +40,18 @@ def test_slot_without_semantic_elements(spark):
         assert got[i]["aligned"]
 
 
+@pytest.mark.parametrize("start, end", [("<article>", "</article>"), ("<div>", "</div>")])
+def test_slot_holds_headline_and_sections(spark, start, end):
+    """A headline, a short first section and a long second one: all varying text belongs to the slot."""
+    def page(i):
+        return (f"<html><body><div id=top><div>Welcome to our site</div></div>{start}<h1>Title {i}</h1><p>Standfirst {i}</p><div><p>Short {i}</p></div>"
+                f"<div class=body><p>{f'Long text {i} of words. ' * 20}</p></div>{end}<div><p>Legal line of the site</p></div></body></html>")
+
+    rows = [(i, f"https://h.example/{i}", page(i)) for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Title {i} Standfirst {i} Short {i} " + f"Long text {i} of words. " * 19 + f"Long text {i} of words." for i in range(6)}
+
+
 @pytest.mark.parametrize("inner, text", [
     ("<p>a<p>b", "a b"), ("<p>a<br>b</p>", "a b"), ("<p>a <b>b</b>c</p>", "a bc"), ("<p>x &lt;y&gt; &eacute; &#8364;</p>", "x <y> é €"),
     ("<script>var t='</p><p>no';</script><p>yes</p>", "yes"), ("<p>a</p><!-- <p>no</p> --><p>b</p>", "a b"), ("<ul><li>one<li>two</ul>", "one two"),
