@@ -1,9 +1,10 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host share a template. Each page's tree of block elements is aligned with that of the
-host's first page (smallest page_id) by simple tree matching: equal labels match, children match in
-order, and the alignment with the most matched nodes wins. Over all pages of the host, a node whose own
-text is the same in at least half of them is template; nodes with varying text are content slots. The
+Pages of one host share a template. Each page's tree of block elements is aligned with a reference tree
+by simple tree matching: equal labels match, children match in order, and the alignment with the most
+matched nodes wins. The reference is the largest page of the host's most frequent shape (the set of label
+paths; pages without text only if there are no others). Over the host's pages, those of equal text counted once,
+a node whose own text is the same in at least half of them, and in two at least, is template; nodes with varying text are content slots. The
 content slot of the host is the deepest container that holds all varying, unlinked text outside boilerplate
 regions, but none below an article or main element; its blocks, in page order and without boilerplate regions, are the page's main text. A page whose alignment
 lacks that slot uses its own article or main element, or the deepest container of all its own text.
@@ -268,6 +269,23 @@ def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "tags": [p.tag for p in pages]})
 
 
+def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the choice of a host's reference page needs of each page."""
+    for pdf in batches:
+        out = []
+        for name, page_id, markup in pdf[["host", "page_id", "html"]].itertuples(index=False):
+            page = _safe(markup)
+            paths, path = set(), []
+            for i, p in enumerate(page.parent):
+                path.append(zlib.crc32(page.label[i].encode("utf-8", "replace"), path[p] if p >= 0 else 0))
+                paths.add(path[i])
+            words = [t for node, t, _ in page.blocks if not page.bad[node]]
+            out.append((name, None if pd.isna(page_id) else int(page_id), bool(words), zlib.crc32(repr(sorted(paths)).encode()),
+                        zlib.crc32("\n".join(words).encode("utf-8", "replace")), len(page.label)))
+        frame = pd.DataFrame(out, columns=["host", "page_id", "filled", "shape", "content", "size"])
+        yield frame.astype({"page_id": "Int64"})
+
+
 PARSED = ("page_id long, url string, host string, own int, nodes array<struct<ref:int,sum:long,mass:long>>, "
           "blocks array<struct<good:boolean,own:boolean,refs:array<int>,text:string>>")
 
@@ -316,16 +334,21 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, host and ``aligned`` (the host's slot was found in the page)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host(F.col("url")).alias("host"), "html")
-    first = save(rows.groupBy("host").agg(F.min("page_id").alias("page_id")), "first")
+    shapes = rows.select("host", "page_id", "html").mapInPandas(_shapes, "host string, page_id long, filled boolean, shape long, content long, size int")
+    shapes = shapes.groupBy("host", "filled", "shape", "content").agg(F.max(F.struct("size", (-F.col("page_id")).alias("first"))).alias("page"))
+    shapes = shapes.groupBy("host", "filled", "shape").agg(F.count(F.lit(1)).alias("n"), F.max("page").alias("page"))
+    first = shapes.groupBy("host").agg(F.max(F.struct("filled", "n", "page", "shape")).alias("best"))
+    first = save(first.select("host", (-F.col("best.page.first")).alias("page_id")), "first")
     trees = save(rows.select("host", "page_id", "html").join(first, ["host", "page_id"], "left_semi").dropDuplicates(["host"]).select("host", "html")
                  .mapInPandas(_trees, "host string, labels array<string>, parents array<int>, tags array<string>"), "trees")
     parsed = save(rows.join(trees.drop("tags"), "host", "left").mapInPandas(_parsed, PARSED), "parsed")
 
-    # A node is template where one text makes up half or more of its host's pages that have it.
-    seen = parsed.select("host", F.explode("nodes").alias("x")).groupBy("host", "x.ref", "x.sum").agg(
+    # A node is template where one text makes up half or more of its host's pages that have it, copies counted once.
+    distinct = parsed.select("host", "nodes", F.xxhash64("nodes").alias("content")).dropDuplicates(["host", "content"])
+    seen = distinct.select("host", F.explode("nodes").alias("x")).groupBy("host", "x.ref", "x.sum").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x.mass").alias("mass"))
     nodes = seen.groupBy("host", "ref").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum("mass").alias("mass"))
-    varying = nodes.where("n = 1 OR 2 * most < n").groupBy("host").agg(F.collect_list(F.struct("ref", "mass")).alias("found"))  # by node of one tree
+    varying = nodes.where("most = 1 OR 2 * most < n").groupBy("host").agg(F.collect_list(F.struct("ref", "mass")).alias("found"))  # by node of one tree
     slots = save(trees.join(varying, "host", "left").mapInPandas(_slots, "host string, slot int"), "slots")
 
     both = parsed.join(slots, "host", "left")

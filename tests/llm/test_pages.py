@@ -52,6 +52,20 @@ def test_slot_holds_headline_and_sections(spark, start, end):
     assert got == {i: f"Title {i} Standfirst {i} Short {i} " + f"Long text {i} of words. " * 19 + f"Long text {i} of words." for i in range(6)}
 
 
+@pytest.mark.parametrize("others", [[], ["", None], ["<html><body><table><tr><td>odd</table></body></html>"], ["copy"] * 4])
+def test_slot_of_a_host_with_two_pages(spark, others):
+    """Two pages, after empty or odd ones of smaller page_id or with copies: their varying text is found."""
+    def page(i):
+        return (f"<html><body><div id=top><div>Welcome to our site</div></div><div class=x><h2>Title {i}</h2><p>Text {i} of words.</p></div>"
+                "<div><p>Legal line of the site</p></div></body></html>")
+
+    rows = [(k, f"https://h.example/{k}", page(8) if m == "copy" else m) for k, m in enumerate(others)]
+    rows += [(i, f"https://h.example/{i}", page(i)) for i in (8, 9)]
+    got = {r["page_id"]: r for r in wrapper.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in (8, 9):
+        assert got[i]["text"] == f"Title {i} Text {i} of words." and got[i]["aligned"]
+
+
 @pytest.mark.parametrize("inner, text", [
     ("<p>a<p>b", "a b"), ("<p>a<br>b</p>", "a b"), ("<p>a <b>b</b>c</p>", "a bc"), ("<p>x &lt;y&gt; &eacute; &#8364;</p>", "x <y> é €"),
     ("<script>var t='</p><p>no';</script><p>yes</p>", "yes"), ("<p>a</p><!-- <p>no</p> --><p>b</p>", "a b"), ("<ul><li>one<li>two</ul>", "one two"),
