@@ -6,7 +6,8 @@ matched nodes wins. The reference is the largest page of the host's most frequen
 paths; pages without text only if there are no others). Over the host's pages, those of equal text counted once,
 a node whose own text is the same in at least half of them, and in two at least, is template; nodes with varying text are content slots. The
 content slot of the host is the deepest container that holds all varying, unlinked text outside boilerplate
-regions, but none below an article or main element; its blocks, in page order and without boilerplate regions, are the page's main text. A page whose alignment
+regions, but none below an article or main element; its blocks, in page order and without boilerplate regions, are the page's main text; template nodes inside the
+slot whose text stands in three different pages at least are left out, unless nothing else is there. A page whose alignment
 lacks that slot uses its own article or main element, or the deepest container of all its own text.
 
 Only the reference trees and one slot number a host are joined to the pages, read from written tables,
@@ -287,7 +288,7 @@ def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 PARSED = ("page_id long, url string, host string, own int, nodes array<struct<ref:int,sum:long,mass:long>>, "
-          "blocks array<struct<good:boolean,own:boolean,refs:array<int>,text:string>>")
+          "blocks array<struct<good:boolean,own:boolean,refs:array<int>,sum:long,text:string>>")
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,7 +313,8 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen[0] = zlib.crc32(text.encode("utf-8", "replace"), seen[0])
                     seen[1] += max(0, len(text) - linked)
             out.append((page_id, url, name, to[slot], [(ref, total, mass) for ref, (total, mass) in own_text.items()],
-                        [(not page.bad[node], inside[node], refs[node], text) for node, text, _ in page.blocks]))
+                        [(not page.bad[node], inside[node], refs[node], own_text[to[node]][0] if not page.bad[node] and to[node] >= 0 else None, text)
+                         for node, text, _ in page.blocks]))
         yield pd.DataFrame(out, columns=["page_id", "url", "host", "own", "nodes", "blocks"])
 
 
@@ -347,14 +349,21 @@ def extract(pages: DataFrame) -> DataFrame:
     distinct = parsed.select("host", "nodes", F.xxhash64("nodes").alias("content")).dropDuplicates(["host", "content"])
     seen = distinct.select("host", F.explode("nodes").alias("x")).groupBy("host", "x.ref", "x.sum").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x.mass").alias("mass"))
-    nodes = seen.groupBy("host", "ref").agg(F.max("n").alias("most"), F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+    nodes = seen.groupBy("host", "ref").agg(
+        F.max("n").alias("most"), F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.max(F.struct("n", "sum"))["sum"].alias("sum"))
+    nodes = save(nodes, "nodes")
+    constant = nodes.where("most > 2 AND 2 * most >= n").groupBy("host").agg(F.collect_list(F.struct("ref", "sum")).alias("constant"))  # by node of one tree
     varying = nodes.where("most = 1 OR 2 * most < n").groupBy("host").agg(F.collect_list(F.struct("ref", "mass")).alias("found"))  # by node of one tree
-    slots = save(trees.join(varying, "host", "left").mapInPandas(_slots, "host string, slot int"), "slots")
+    slots = save(trees.join(varying, "host", "left").mapInPandas(_slots, "host string, slot int").join(constant, "host", "left"), "slots")
 
     both = parsed.join(slots, "host", "left")
     aligned = F.exists("blocks", lambda b: F.array_contains(b["refs"], F.col("slot")) & b["good"])
     both = both.withColumn("aligned", F.coalesce(aligned, F.lit(False)))
     chosen = F.filter("blocks", lambda b: b["good"] & F.when(F.col("aligned"), F.array_contains(b["refs"], F.col("slot"))).otherwise(b["own"]))
+    same = lambda b: F.array_contains("constant", F.struct(F.get(b["refs"], F.size(b["refs"]) - 1).alias("ref"), b["sum"].alias("sum")))
+    both = both.withColumn("chosen", chosen)
+    kept = F.filter("chosen", lambda b: ~F.coalesce(F.col("aligned") & b["sum"].isNotNull() & same(b), F.lit(False)))
+    chosen = F.when(F.size(kept) > 0, kept).otherwise(F.col("chosen"))
     text = F.coalesce(F.array_join(F.transform(chosen, lambda b: b["text"]), " "), F.lit(""))
     return both.select("page_id", "url", text.alias("text"), "host", "aligned").select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "host", "aligned")

@@ -66,6 +66,16 @@ def test_slot_of_a_host_with_two_pages(spark, others):
         assert got[i]["text"] == f"Title {i} Text {i} of words." and got[i]["aligned"]
 
 
+def test_constant_blocks_inside_the_slot_are_left_out(spark):
+    """A disclaimer in every article goes; paragraphs of copies of one article stay."""
+    def page(i):
+        return f"<html><body><article><h1>Title {i}</h1><p>Text {i} of words.</p><p>Read more on our site.</p></article></body></html>"
+
+    rows = [(k, f"https://h.example/{k}", page(i)) for k, i in enumerate((0, 1, 2, 3, 3, 3, 3, 3, 3))]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {k: f"Title {i} Text {i} of words." for k, i in enumerate((0, 1, 2, 3, 3, 3, 3, 3, 3))}
+
+
 @pytest.mark.parametrize("inner, text", [
     ("<p>a<p>b", "a b"), ("<p>a<br>b</p>", "a b"), ("<p>a <b>b</b>c</p>", "a bc"), ("<p>x &lt;y&gt; &eacute; &#8364;</p>", "x <y> é €"),
     ("<script>var t='</p><p>no';</script><p>yes</p>", "yes"), ("<p>a</p><!-- <p>no</p> --><p>b</p>", "a b"), ("<ul><li>one<li>two</ul>", "one two"),
