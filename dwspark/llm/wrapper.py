@@ -200,22 +200,32 @@ def align(page: Page, labels: list[str], parents: list[int]) -> list[int]:
             right[p].append(i)
     # Equal subtrees share their matching, so each pair of shapes is computed once.
     shapes: dict[tuple, int] = {}
+    sizes: list[int] = []
 
     def shaped(label: list[str], below: list[list[int]]) -> list[int]:
         out = [0] * len(label)
         for i in range(len(label) - 1, -1, -1):
             key = (label[i], *(out[c] for c in below[i]))
             out[i] = shapes.setdefault(key, len(shapes))
+            if len(sizes) < len(shapes):
+                sizes.append(1 + sum(sizes[c] for c in key[1:]))
         return out
 
     a_shape, b_shape = shaped(page.label, left), shaped(labels, right)
     memo: dict[tuple[int, int], int] = {}
 
-    def table(a: int, b: int) -> list[list[int]]:
-        rows = [[0] * (len(right[b]) + 1)]
-        for x in left[a]:
+    def unlike(a: int, b: int) -> tuple[int, int]:
+        """How many children are left before the last ones of equal shape, which match in the best alignment."""
+        i, k = len(left[a]), len(right[b])
+        while i and k and a_shape[left[a][i - 1]] == b_shape[right[b][k - 1]]:
+            i, k = i - 1, k - 1
+        return i, k
+
+    def table(a: int, b: int, n: int, m: int) -> list[list[int]]:
+        rows = [[0] * (m + 1)]
+        for x in left[a][:n]:
             last, row = rows[-1], [0]
-            for k, y in enumerate(right[b]):
+            for k, y in enumerate(right[b][:m]):
                 best = last[k + 1] if last[k + 1] > row[k] else row[k]
                 if page.label[x] == labels[y]:
                     taken = last[k] + score(x, y)
@@ -227,7 +237,8 @@ def align(page: Page, labels: list[str], parents: list[int]) -> list[int]:
     def score(a: int, b: int) -> int:
         key = (a_shape[a], b_shape[b])
         if key not in memo:
-            memo[key] = 1 + (table(a, b)[-1][-1] if left[a] and right[b] else 0)
+            n, m = unlike(a, b)
+            memo[key] = 1 + sum(sizes[a_shape[x]] for x in left[a][n:]) + (table(a, b, n, m)[-1][-1] if n and m else 0)
         return memo[key]
 
     out = [-1] * len(page.label)
@@ -237,7 +248,9 @@ def align(page: Page, labels: list[str], parents: list[int]) -> list[int]:
         out[a] = b
         if not (left[a] and right[b]):
             continue
-        rows, i, k = table(a, b), len(left[a]), len(right[b])
+        i, k = unlike(a, b)
+        waiting.extend(zip(left[a][i:], right[b][k:]))
+        rows = table(a, b, i, k) if i and k else []
         while i and k:
             x, y = left[a][i - 1], right[b][k - 1]
             if page.label[x] == labels[y] and rows[i][k] == rows[i - 1][k - 1] + score(x, y):
