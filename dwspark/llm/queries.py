@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwspark.llm import chat, decontam, langid, licenses, manifest, mixing, neardup, quality, shards, suffix, tokens, wrapper
+from dwspark.llm import chat, decontam, langid, licenses, manifest, mixing, neardup, quality, shards, structure, suffix, tokens, wrapper
 from dwspark.llm.tables import read
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,12 @@ def queries() -> dict[str, QueryFn]:
         "op8_license_scan": lambda s, d: licenses.scan(read(s, d, "documents")),
         "op9_source_mix": lambda s, d: mixing.query(read(s, d, "documents")),
         "op10_minhash_hamming": lambda s, d: neardup.link(read(s, d, "documents")),
+        "op11_structure_repair": lambda s, d: structure.query(read(s, d, "conversations")),
         "op12_merkle_manifest": lambda s, d: manifest.query(read(s, d, "documents")),
         "op13_token_counts": lambda s, d: tokens.query(read(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality.sql(), "op8_license_scan": licenses.sql(), "op12_merkle_manifest": manifest.sql()}
+    return {"op5_quality_rules": quality.sql(), "op8_license_scan": licenses.sql(), "op11_structure_repair": structure.sql(),
+            "op12_merkle_manifest": manifest.sql()}
