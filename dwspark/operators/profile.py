@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwspark.functions.clean import BLANK_LIKE_TOKENS
+from dwspark.operators import order_stats
 from dwspark.operators.aggregate import union_all
 
 Tables = Mapping[str, DataFrame]
@@ -217,19 +218,40 @@ def column_stats(df: DataFrame, table_name: str, columns: Sequence[str] | None =
 
 
 # Q11 ---------------------------------------------------------------------------------------------
+def describe_tables(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """``(table_name, column_name, count, mean, std, min, p25, p50, p75, max)`` of the given numeric columns of
+    each table, rounded to 2 places; null and NaN are missing. Percentiles are exact and interpolate linearly
+    between order statistics (as pandas does), found by :mod:`order_stats`: no state grows with a column."""
+    keys = ["table_name", "column_name"]
+    long = union_all(
+        df.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias(keys[0]), F.lit(c).alias(keys[1]), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])))
+        for name, (df, columns) in tables.items() if columns)
+    present = F.when(~F.isnan("value"), F.col("value"))
+    stats = long.groupBy(*keys).agg(
+        F.count(present).alias("count"), F.round(F.avg(present), 2).alias("mean"), F.round(F.stddev_samp(present), 2).alias("std"),
+        F.round(F.min(present), 2).alias("min"), F.round(F.max(present), 2).alias("max"))
+    at = order_stats.percentiles(long, keys, "value", [0.25, 0.5, 0.75])
+    cuts = at.groupBy(*keys).agg(*[F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), 2).alias(name)
+                                   for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return stats.join(cuts, keys, "left").select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
 def numeric_describe(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 % and max per column, rounded to 2 places, in one
-    aggregation. Exact percentiles interpolate linearly between order statistics (as pandas does);
-    their state grows with the number of distinct values of the column. ``exact=False`` uses
-    ``percentile_approx`` (bounded sketch, relative rank error 1/accuracy) for very large columns."""
+    """count, mean, std (sample), min, 25/50/75 % and max per column, rounded to 2 places; a column without
+    values has count 0. ``exact=False`` uses ``percentile_approx`` in one pass without a shuffle of values
+    (bounded sketch, relative rank error 1/accuracy)."""
+    if exact:
+        out = describe_tables({"": (df, columns)}).drop("table_name")
+        names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+        return names.join(out, "column_name", "left").fillna(0, ["count"])
     probs = [0.25, 0.5, 0.75]
     aggs = []
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`").cast("double")
-        pct = F.percentile(col, probs) if exact else F.percentile_approx(col, probs, accuracy)
         aggs += [
             F.count(col).alias(f"_c{i}"), F.avg(col).alias(f"_a{i}"), F.stddev_samp(col).alias(f"_s{i}"),
-            F.min(col).alias(f"_lo{i}"), F.max(col).alias(f"_hi{i}"), pct.alias(f"_p{i}"),
+            F.min(col).alias(f"_lo{i}"), F.max(col).alias(f"_hi{i}"), F.percentile_approx(col, probs, accuracy).alias(f"_p{i}"),
         ]
     row = df.agg(*aggs)
     entries = [

@@ -31,3 +31,9 @@ DRIVER_KEYS: dict[str, list[str]] = {
     "events": ["event_id"], "documents": ["doc_id"], "embeddings": ["vec_id"], "pages": ["page_id"],
     "benchmark": ["item_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"],
 }
+
+# Numeric columns of each table.
+DRIVER_NUMBERS: dict[str, list[str]] = {
+    table: [c for c, text in columns if not text and c not in ("o_orderdate", "l_shipdate", "ts", "embedding")]
+    for table, columns in DRIVER_COLUMNS.items()
+}

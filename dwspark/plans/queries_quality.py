@@ -9,7 +9,7 @@ from dwspark.operators.aggregate import union_all
 from dwspark.plans import derive
 from dwspark.plans import warehouse as wh
 from dwspark.plans.catalog import register
-from dwspark.plans.driver_schema import DRIVER_COLUMNS, DRIVER_KEYS
+from dwspark.plans.driver_schema import DRIVER_COLUMNS, DRIVER_KEYS, DRIVER_NUMBERS
 
 ALL = list(DRIVER_COLUMNS)
 
@@ -187,6 +187,15 @@ def q11_numeric_describe(t):
     return profile.numeric_describe(t["lineitem"], [c for _, c in DESCRIBE])
 
 
+@register("q11_describe_all_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count, round(avg({c}), 2) AS mean, round(stddev_samp({c}), 2) AS std, "
+    f"round(min({c})::DOUBLE, 2) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 2) AS p25, round(quantile_cont({c}::DOUBLE, 0.5), 2) AS p50, "
+    f"round(quantile_cont({c}::DOUBLE, 0.75), 2) AS p75, round(max({c})::DOUBLE, 2) AS max FROM {t}"
+    for t, columns in DRIVER_NUMBERS.items() for c in columns))
+def q11_describe_all_tables(t):
+    return profile.describe_tables({name: (t[name], columns) for name, columns in DRIVER_NUMBERS.items()})
+
+
 # Q12 ---------------------------------------------------------------------------------------------
 TOP_COLUMNS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
 
