@@ -23,7 +23,8 @@ from dwspark.operators.audit import AuditLog
 from dwspark.operators.changes import change_counts_many
 from dwspark.operators.profile import profile_many
 from dwspark.plans import bank
-from dwspark.sinks import tables
+from dwspark.session import scratch_path
+from dwspark.sinks import tables, versions
 
 log = logging.getLogger(__name__)
 
@@ -65,15 +66,55 @@ def transform(src: BankSources, max_valid_year: int = 2025) -> dict[str, DataFra
     }
 
 
-def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str, max_valid_year: int = 2025) -> tuple[str, DataFrame]:
-    """Run the pipeline; returns ``(run_id, summary)`` where ``summary`` is the R4 document."""
+class Folders:
+    """One folder a table below ``base``, replaced one after the other in load order."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+        self.staged: dict[str, str] = {}
+
+    def write(self, name: str, df: DataFrame) -> int:
+        self.staged[name], rows = tables.write_counted(df, f"{self.base}/{name}")
+        return rows
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.staged[name])
+
+    def previous(self, name: str) -> DataFrame | None:
+        path = f"{self.base}/{name}"
+        return self.spark.read.parquet(path) if tables.path_exists(self.spark, path) else None
+
+    def publish(self) -> dict[str, DataFrame]:
+        tables.load_in_order(self.staged, LOAD_ORDER, lambda name, path: tables.swap_in(self.spark, path, f"{self.base}/{name}"))
+        return {n: self.spark.read.parquet(f"{self.base}/{n}") for n in LOAD_ORDER}
+
+    def abandon(self) -> None:
+        for path in self.staged.values():
+            tables.remove(self.spark, path)
+
+
+class Versions(versions.Commit):
+    """All targets published together as one version (see :mod:`dwspark.sinks.versions`)."""
+
+    def previous(self, name: str) -> DataFrame | None:
+        return self.before.read(self.spark, name) if name in self.before.tables else None
+
+    def publish(self) -> dict[str, DataFrame]:
+        snap = super().publish()
+        return {n: snap.read(self.spark, n) for n in LOAD_ORDER}
+
+
+def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str, max_valid_year: int = 2025,
+        versioned: bool = False) -> tuple[str, DataFrame]:
+    """Run the pipeline; returns ``(run_id, summary)`` where ``summary`` is the R4 document. ``versioned``
+    publishes all targets at once; otherwise each target's folder is replaced in load order."""
     audit = AuditLog(spark, audit_base)
     run_id = audit.start_run()
     started = time.time()
-    warehouse = warehouse.rstrip("/")
     summary_path = f"{audit_base.rstrip('/')}/summaries/{run_id}"
-    staged: dict[str, str] = {}
+    store: Folders | Versions | None = None
     try:
+        store = (Versions if versioned else Folders)(spark, warehouse)
         source_profiles = profile_many([
             ("bank_transactions", src.transactions, ["TransactionID"]),
             ("marketing_campaign_deposit", src.campaign, ["loan_data_id"]),
@@ -82,34 +123,26 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
         ], "source")
         targets = transform(src, max_valid_year)
 
-        def stage(name: str, target: DataFrame) -> int:
-            staged[name], rows = tables.write_counted(target, f"{warehouse}/{name}")
-            return rows
-
         # The sources' profiles are recorded whatever becomes of the targets.
         done = concurrently({"profiles": lambda: audit.save_profiles(run_id, source_profiles),
-                             **{n: (lambda n=n, d=d: stage(n, d)) for n, d in targets.items()}})
+                             **{n: (lambda n=n, d=d: store.write(n, d)) for n, d in targets.items()}})
         expected = {n: done[n] for n in LOAD_ORDER}
-        new = {name: spark.read.parquet(path) for name, path in staged.items()}
+        new = {name: store.read(name) for name in LOAD_ORDER}
         tables.verify_counts(expected, new)
         target_profiles = profile_many([(n, new[n], TARGET_KEYS[n]) for n in LOAD_ORDER], "target")
-        previous = {
-            n: (spark.read.parquet(f"{warehouse}/{n}") if tables.path_exists(spark, f"{warehouse}/{n}")
-                else spark.createDataFrame([], new[n].schema))
-            for n in LOAD_ORDER
-        }
+        before = {n: store.previous(n) for n in LOAD_ORDER}
+        previous = {n: spark.createDataFrame([], new[n].schema) if df is None else df for n, df in before.items()}
         changes = change_counts_many([(n, new[n], previous[n], TARGET_KEYS[n]) for n in LOAD_ORDER])
         # Record profiles and changes while both snapshots are still readable.
         concurrently({"profiles": lambda: audit.save_profiles(run_id, target_profiles),
                       "changes": lambda: audit.save_changes(run_id, changes)})
-        tables.load_in_order(staged, LOAD_ORDER, lambda name, path: tables.swap_in(spark, path, f"{warehouse}/{name}"))
-        tables.verify_counts(expected, {n: spark.read.parquet(f"{warehouse}/{n}") for n in LOAD_ORDER})
+        tables.verify_counts(expected, store.publish())
         audit.mark_succeeded(run_id, time.time() - started)
     except Exception as e:
         # Nothing that goes wrong while the failure is recorded may hide the failure itself.
         for clean_up in (lambda: audit.mark_failed(run_id, f"{type(e).__name__}: {e}"),
                          lambda: audit.export_summary(run_id, summary_path),
-                         lambda: [tables.remove(spark, path) for path in staged.values()]):
+                         lambda: store and store.abandon()):
             try:
                 clean_up()
             except Exception as second:
@@ -119,6 +152,22 @@ def run(spark: SparkSession, src: BankSources, warehouse: str, audit_base: str,
     return run_id, audit.summary(run_id)
 
 
+def summary_of_first_load(t: Mapping[str, DataFrame]) -> DataFrame:
+    """W12 over the driver tables into an empty warehouse of its own, which is deleted afterwards: per target
+    its rows and what change detection found, from the run's summary (one row a table)."""
+    spark = next(iter(t.values())).sparkSession
+    folder = scratch_path(spark, "first-load")
+    try:
+        _, summary = run(spark, driver_sources(t), f"{folder}/warehouse", f"{folder}/audit", versioned=True)
+        found = summary.select(F.explode("changes").alias("c"), "profiles", "status").select("status", "c.*", F.explode("profiles").alias("p")).where(
+            "p.stage = 'target' AND p.dataset_name = table_name")
+        rows = found.select("table_name", "status", F.col("p.row_count").alias("row_count"), F.col("p.duplicate_key_count").alias("duplicate_key_count"),
+                            "inserted_count", "updated_count", "deleted_count", "unchanged_count")
+        return spark.createDataFrame(rows.collect(), rows.schema)  # five rows
+    finally:
+        tables.remove(spark, folder)
+
+
 def driver_sources(t: Mapping[str, DataFrame]) -> BankSources:
     """Bank-shaped sources derived from the driver tables (events -> transactions CSV, customer ->
     campaign, region / nation -> education / marital lookups)."""

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from dwspark.plans import bank, car_sales
 from dwspark.plans import derive as d
-from dwspark.plans.catalog import register
+from dwspark.plans import etl
+from dwspark.plans.catalog import REGISTRY, register
 
 # ---- bank source rendered in SQL (same formulas as bank.transactions_source) -----------------------
 BANK_SRC_SQL = f"""
@@ -224,15 +225,11 @@ def p9_numeric_cleanup(t):
 # ---- lookup tables of the bank (W10), stringify (P16), as text (P18), missing flag (P20), fallback
 @register("w10_education_status", "SELECT r_regionkey AS education_id, r_name AS value, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM region")
 def w10_education_status(t):
-    from dwspark.plans import bank, etl
-
     return bank.lookup_table(etl.driver_sources(t).education, "education_id")
 
 
 @register("w10_marital_status", "SELECT n_nationkey + 1 AS marital_id, n_name AS value, CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM nation")
 def w10_marital_status(t):
-    from dwspark.plans import bank, etl
-
     return bank.lookup_table(etl.driver_sources(t).marital, "marital_id")
 
 
@@ -269,3 +266,18 @@ def j8_latest_previous_order(t):
 
     history = t["orders"].select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.struct("o_orderdate", "o_orderkey").alias("at"))
     return latest_previous(t["customer"].select("c_custkey"), history, ["c_custkey"], "at", "o_totalprice", "previous_total")
+
+
+# The whole audited pipeline, shown by its summary ----------------------------------------------
+W12_TARGETS = {
+    "education_status": "w10_education_status", "marital_status": "w10_marital_status",
+    "marketing_campaign_deposit": "w10_marketing_campaign", "customers": "w8_bank_customers", "transactions": "w9_bank_transactions",
+}
+
+
+@register("w12_pipeline_summary", " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, 'SUCCEEDED' AS status, count(*) AS row_count, CAST(0 AS BIGINT) AS duplicate_key_count, count(*) AS inserted_count, "
+    f"CAST(0 AS BIGINT) AS updated_count, CAST(0 AS BIGINT) AS deleted_count, CAST(0 AS BIGINT) AS unchanged_count FROM ({REGISTRY[query].sql}) {table}"
+    for table, query in W12_TARGETS.items()))
+def w12_pipeline_summary(t):
+    return etl.summary_of_first_load(t)
