@@ -62,10 +62,11 @@ def with_siblings(nodes: DataFrame, group: str) -> DataFrame:
 
 
 def levels(leaves: DataFrame, group: str) -> list[DataFrame]:
-    """The nodes (group, pos, n, digest) of each level; a group's last node is its root and goes no higher."""
-    found = [leaves.select(group, "pos", "n", "digest")]
+    """The nodes (group, pos, n, digest) of each level; a group's last node is its root and goes no higher. The
+    first level is ``leaves`` with all its columns."""
+    found = [leaves]
     while not found[-1].where("n > 1").isEmpty():
-        children = with_siblings(found[-1].where("n > 1"), group)
+        children = with_siblings(found[-1].where("n > 1").select(group, "pos", "n", "digest"), group)
         parents = children.where(F.col("pos") % FANOUT == 0).select(
             group, F.col("run").alias("pos"), F.ceil(F.col("n") / FANOUT).alias("n"), digest("digest", "right").alias("digest"))
         found.append(save(parents, "level"))
@@ -81,19 +82,21 @@ def roots(found: Sequence[DataFrame], group: str) -> DataFrame:
     return out
 
 
-def paths(found: Sequence[DataFrame], group: str, above: DataFrame | None = None) -> DataFrame:
-    """For each leaf its group, pos and ``path``: its siblings (left, right) of every level, from the leaf up.
-    ``above`` (group, path) continues the path from each group's root."""
+def with_paths(found: Sequence[DataFrame], group: str, above: DataFrame) -> DataFrame:
+    """The leaves with ``path``, their siblings (left, right) of every level from the leaf up, and the columns of
+    ``above`` (group, path and others): what goes on from each group's root. Paths go down level by level; each
+    level's nodes meet their parents' paths on the partitioning that their windows need, so that whole paths
+    are never shuffled but for the sixteenth part that the level above holds."""
+    carried = [c for c in above.columns if c != group]
     down: DataFrame | None = None
     for number in range(len(found) - 1, -1, -1):
         nodes = found[number]
-        single = nodes.where("n = 1").select(group, "pos")
-        end = single.join(above, group) if above is not None else single.withColumn("path", F.array().cast(f"array<{STEP}>"))
-        here = end.select(group, "pos", "path")
+        here = nodes.where("n = 1").join(above, group).select(*nodes.columns, *carried)
         if down is not None:
-            parents = down.select(group, F.col("pos").alias("run"), "path")
+            parents = down.select(group, F.col("pos").alias("run"), *carried)
             inner = with_siblings(nodes.where("n > 1"), group).join(parents, [group, "run"])
-            here = here.unionByName(inner.select(group, "pos", F.concat(F.array(F.struct("left", "right")), "path").alias("path")))
+            longer = F.concat(F.array(F.struct("left", "right")), "path").alias("path")
+            here = here.unionByName(inner.select(*nodes.columns, *[longer if c == "path" else c for c in carried]))
         down = save(here, "paths") if number else here
     return down
 
@@ -113,19 +116,17 @@ def manifest(rows: DataFrame, fields: Sequence[str] = FIELDS, group: str = "sour
     changed = changed or {}
     fields_now = [field(F.col(f)) for f in fields]
     fields_then = [field(changed.get(f, F.col(f))) for f in fields]
-    leaves = rows.select(
+    leaves = save(rows.select(
         F.col(key).alias("_key"), F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")).alias("_group"),
-        digest(*fields_now).alias("digest"), (digest(*fields_then) if changed else F.lit(None).cast("string")).alias("changed_leaf"))
+        digest(*fields_now).alias("digest"), (digest(*fields_then) if changed else F.lit(None).cast("string")).alias("changed_leaf")), "digests")
     leaves = save(positions(leaves, "_group", ["_key", "digest"]), "leaves")
     within = levels(leaves, "_group")
     tops = save(roots(within, "_group").select("_group", F.col("root").alias("digest"), F.lit("").alias("_all")), "subroots")
     groups = save(positions(tops, "_all", ["_group"]), "groups")
     across = levels(groups, "_all")
-    whole = roots(across, "_all").select("root")
-    above = paths(across, "_all").join(groups.select("pos", "_group", F.col("digest").alias("subroot")), "pos")
-    above = save(above.join(F.broadcast(whole)).select("_group", "path", "subroot", "root"), "group-paths")  # one row
-    path = paths(within, "_group", above.select("_group", "path"))
-    out = leaves.join(path, ["_group", "pos"]).join(above.select("_group", "subroot", "root"), "_group")
+    whole = roots(across, "_all").select("_all", "root", F.array().cast(f"array<{STEP}>").alias("path"))  # one row
+    above = save(with_paths(across, "_all", whole).select("_group", "path", F.col("digest").alias("subroot"), "root"), "group-paths")
+    out = with_paths(within, "_group", above)
     return out.select(F.col("_key").alias(key), F.col("digest").alias("leaf"), "changed_leaf", "subroot", "root", "path")
 
 
