@@ -3,7 +3,7 @@
 The reference trains a scikit-learn decision tree on one machine. Here training, evaluation and
 scoring are Spark jobs: one-hot encoding + vector assembly + ``DecisionTreeRegressor`` (depth 8, at
 least 5 rows per leaf, as the reference). Spark's tree bins continuous features (``maxBins``), so its
-metrics are close to, not equal to, scikit-learn's.
+metrics are close to, not equal to, scikit-learn's; :func:`train_exact` grows a tree with exact splits.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwspark.functions.clean import prepare_model_frame
+from dwspark.operators import tree
 from dwspark.operators.aggregate import regression_metrics
 from dwspark.session import checkpoint_dir
 
@@ -89,6 +90,19 @@ def train_and_evaluate(df: DataFrame, key: str, numeric: Sequence[str], categori
     return TrainingResult(model, regression_metrics(scored, "actual", "predicted"), scored)
 
 
+def train_exact(df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], target: str,
+                test_percent: int = TEST_PERCENT, seed: int = SEED, max_depth: int = MAX_DEPTH,
+                min_rows_per_leaf: int = MIN_ROWS_PER_LEAF) -> tuple[tree.Tree, DataFrame]:
+    """L1, L7, L2 and an exact-split tree (:mod:`tree`): the tree, and the hold-out rows with ``actual`` and ``predicted``.
+    Training deletes its prepared rows; the predictions are a plain query over ``df``."""
+    data = prepare_model_frame(df, numeric, categorical, target, keep=[key])
+    train, test = hash_split(data, key, test_percent, seed)
+    fitted = tree.fit(train, numeric, categorical, target, max_depth, min_rows_per_leaf)
+    if not fitted.nodes or fitted.nodes[0][2] < MIN_TRAINING_ROWS:
+        raise ValueError(f"need at least {MIN_TRAINING_ROWS} rows to train a model")
+    return fitted, fitted.predict(test.withColumnRenamed(target, "actual"))
+
+
 # L8 ----------------------------------------------------------------------------------------------
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Batch scoring of new rows with a trained (or loaded) model."""
