@@ -4,6 +4,10 @@ Only lengths leave the Arrow function. Texts are cut into pieces and the pieces
 ``batch_bytes`` UTF-8 bytes whatever the number of texts, so a task's memory follows one batch (and one Arrow
 batch), neither the number of rows nor the longest text. No shuffle: each row is counted where it is read.
 
+Where texts may be split, a batch's pieces are cut at every safe place and each distinct word is encoded once; the counts of
+``MEMO_CHARS`` characters of words are kept from batch to batch (then forgotten all at once), so common words cost a
+look-up.
+
 A text above ``piece_bytes`` is split where no token can reach across. This is known for byte-level BPE with the
 usual split pattern, no normaliser and no prefix blank: a run of blanks always begins a new pre-token after a
 visible character, and nothing before the cut looks further than the blank itself. So a cut stands between a
@@ -25,6 +29,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 PIECE_BYTES = 1 << 16
 BATCH_BYTES = 1 << 20
+MEMO_CHARS = 1 << 21
 CUT = re.compile(r"(?<=[\w!-~])(?=[ \t\n\r])")
 
 
@@ -52,6 +58,26 @@ def can_split(vocabulary: bytes) -> bool:
         CUT.search(t["content"]) or t["content"][:1].isspace() or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added))
 
 
+def by_word(lengths: Callable[[list[str]], list[int]], memo_chars: int = MEMO_CHARS) -> Callable[[list[str]], list[int]]:
+    """The same numbers as ``lengths``, from the words of a batch, each encoded once."""
+    known: dict[str, int] = {}
+    held = 0
+
+    def count(texts: list[str]) -> list[int]:
+        nonlocal held
+        words = [CUT.split(t) for t in texts]
+        new = list(set(chain.from_iterable(words)) - known.keys())
+        known.update(zip(new, lengths(new)))
+        held += sum(map(len, new))
+        found = [sum(map(known.__getitem__, w)) for w in words]
+        if held > memo_chars:
+            known.clear()
+            held = 0
+        return found
+
+    return count
+
+
 def encoder(path: str, vocabulary: bytes) -> tuple[Callable[[list[str]], list[int]], bool]:
     """A function from texts to their numbers of tokens, and whether texts may be split for it."""
     if path.endswith(".json"):
@@ -61,7 +87,9 @@ def encoder(path: str, vocabulary: bytes) -> tuple[Callable[[list[str]], list[in
         tokenizer = Tokenizer.from_str(vocabulary.decode())
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        return lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], can_split(vocabulary)
+        lengths = lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = can_split(vocabulary)
+        return (by_word(lengths) if split else lengths), split
     if path.endswith(".model"):
         import sentencepiece
 

@@ -52,6 +52,14 @@ def test_batches_follow_bytes_and_keep_every_piece():
     assert seen == {i: t for i, t in enumerate(texts) if t}
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), max_size=8), st.sampled_from([1, 1 << 20]))
+def test_counts_by_word_equal_the_library(texts, memo):
+    count_words = tokens.by_word(lambda words: [count(w) for w in words], memo)
+    for _ in range(2):
+        assert count_words(texts) == [count(t) for t in texts]
+
+
 def test_all_documents(spark):
     want = {d: (len((t or "").encode()), count(t), count(t) > 512) for d, t in h.documents()}
     rows = queries.queries()["op13_token_counts"](spark, h.SF).collect()
