@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwspark.functions.clean import prepare_model_frame
@@ -42,12 +42,17 @@ class TrainingResult:
 
 
 # L2 ----------------------------------------------------------------------------------------------
-def hash_split(df: DataFrame, key: str, test_percent: int = TEST_PERCENT, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Deterministic train/test split by a hash of the key: a row's side depends only on its key and
-    the seed, not on partitioning or ordering (``randomSplit`` is not stable under either)."""
+def in_test(key: str, test_percent: int = TEST_PERCENT, seed: int = SEED) -> Column:
+    """Whether a row is on the test side: a hash of its key and the seed, nothing else (``randomSplit`` depends on
+    partitioning and order)."""
     digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
-    return df.where(bucket >= test_percent), df.where(bucket < test_percent)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 < test_percent
+
+
+def hash_split(df: DataFrame, key: str, test_percent: int = TEST_PERCENT, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """Deterministic train/test split by :func:`in_test`."""
+    test = in_test(key, test_percent, seed)
+    return df.where(~test), df.where(test)
 
 
 # L7 ----------------------------------------------------------------------------------------------

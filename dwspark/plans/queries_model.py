@@ -87,5 +87,5 @@ def l1_model_frame(t):
 SELECT CASE WHEN {_BUCKET_SQL} >= 20 THEN 'train' ELSE 'test' END AS side, id_sales_nk FROM loaded
 """)
 def l2_hash_split(t):
-    train, test = model.hash_split(_training_frame(t), "id_sales_nk")
-    return train.select(F.lit("train").alias("side"), "id_sales_nk").unionByName(test.select(F.lit("test").alias("side"), "id_sales_nk"))
+    side = F.when(model.in_test("id_sales_nk"), "test").otherwise("train")
+    return _training_frame(t).select(side.alias("side"), "id_sales_nk")

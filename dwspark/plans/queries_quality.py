@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dwspark.operators import checks, profile, validate
+from dwspark.operators import checks, heavy_hitters, profile, validate
 from dwspark.operators.aggregate import union_all
 from dwspark.plans import derive
 from dwspark.plans import warehouse as wh
@@ -211,6 +211,17 @@ def q12_top_values(t):
     return profile.top_values(t["orders"], TOP_COLUMNS)
 
 
+# Every text column of every table, by bounded summaries.
+TEXT_COLUMNS = {table: [c for c, text in columns if text] for table, columns in DRIVER_COLUMNS.items()}
+
+
+@register("q12_most_frequent", " UNION ALL ".join(
+    f"(SELECT '{t}' AS table_name, '{c}' AS column_name, {c} AS top_value, count(*) AS top_count FROM {t} GROUP BY {c} "
+    f"ORDER BY count(*) DESC, {c} NULLS FIRST LIMIT 1)" for t, columns in TEXT_COLUMNS.items() for c in columns))
+def q12_most_frequent(t):
+    return heavy_hitters.most_frequent({name: (t[name], columns) for name, columns in TEXT_COLUMNS.items()})
+
+
 # Q13 ---------------------------------------------------------------------------------------------
 DATE_CONFIG = {"order_date_text": "%Y-%m-%d", "o_orderdate": "%Y-%m-%d", "o_deliverydate": "%Y-%m-%d"}
 
