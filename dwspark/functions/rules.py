@@ -1,6 +1,6 @@
 """Row rules as named boolean Columns.
 
-A rule set is an ordered list of ``(name, passes: Column)``. Filters are conjunctions of the rules;
+A rule set is an ordered list of ``(name, passes: Column)``;
 :mod:`dwspark.operators.rejects` turns the same list into per-row reasons and per-rule counts, so a
 rule is written once and drives the filter, the reject table and the counts.
 """
@@ -8,7 +8,6 @@ rule is written once and drives the filter, the reject table and the counts.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,11 +34,6 @@ def range_rules(bounds: Sequence[tuple[str, str, float]]) -> list[Rule]:
     return [(f"{c}_out_of_range", F.coalesce(ops[op](F.col(c), F.lit(b)), F.lit(True))) for c, op, b in bounds]
 
 
-def conjunction(rules: Iterable[Rule]) -> Column:
-    """True when every rule passes (null counts as a failure)."""
-    return reduce(lambda a, b: a & b, [F.coalesce(ok, F.lit(False)) for _, ok in rules])
-
-
 # F5 offending-row predicates on cleaned values -------------------------------------------------
 def bad_price(unit_price: str | Column, cost_price: str | Column) -> Column:
     """Negative unit or cost price, or cost above unit price."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dwspark.functions.rules import Rule
@@ -51,3 +51,27 @@ def summary(tagged: DataFrame, rules: Sequence[Rule], key: str | None = None) ->
             "rejected_rows", F.col("processed_rows") - F.col("loaded_rows")
         ).drop("_accepted")
     return out
+
+
+def write_split(tagged: DataFrame, rules: Sequence[Rule], path: str) -> dict[str, int]:
+    """Write accepted and rejected rows from one evaluation of ``tagged``, below ``path`` by ``verdict``, and count them in
+    the same job: processed_rows, accepted_rows, rule_rejected_rows and ``<rule>_count`` for every rule."""
+    seen = Observation()
+    ok = F.size(REASONS) == 0
+    counted = tagged.observe(
+        seen, F.count(F.lit(1)).alias("processed_rows"), F.count_if(ok).alias("accepted_rows"), F.count_if(~ok).alias("rule_rejected_rows"),
+        *[F.count_if(F.array_contains(REASONS, name)).alias(f"{name}_count") for name, _ in rules])
+    counted.withColumn("verdict", F.when(ok, "accepted").otherwise("rejected")).write.mode("overwrite").partitionBy("verdict").parquet(path)
+    return {name: int(n) for name, n in seen.get.items()}
+
+
+def _side(spark: SparkSession, path: str, verdict: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("verdict") == verdict).drop("verdict")
+
+
+def read_accepted(spark: SparkSession, path: str) -> DataFrame:
+    return _side(spark, path, "accepted").drop(REASONS)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    return _side(spark, path, "rejected")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dwspark.plans import bank, car_sales
 from dwspark.plans import derive as d
-from dwspark.plans import etl
+from dwspark.plans import etl, jobs
 from dwspark.plans.catalog import REGISTRY, register
 
 # ---- bank source rendered in SQL (same formulas as bank.transactions_source) -----------------------
@@ -281,3 +281,15 @@ W12_TARGETS = {
     for table, query in W12_TARGETS.items()))
 def w12_pipeline_summary(t):
     return etl.summary_of_first_load(t)
+
+
+# The car-sales job: staging, one-pass split, load, model; its figures are those of F4, W11 and L5.
+@register("w11_car_sales_job", CAR_LOADED_SQL.replace("WITH src AS", "WITH src AS MATERIALIZED", 1) + """
+SELECT 'SUCCESS' AS status, (SELECT count(*) FROM src) AS staged_car_sales, (SELECT count(*) FROM (SELECT DISTINCT p_brand FROM part)) AS staged_car_brand,
+       (SELECT count(*) FROM nation) AS staged_us_state, count(*) AS processed_rows, count(*) FILTER (WHERE ok) AS accepted_rows,
+       count(*) FILTER (WHERE NOT ok) AS rule_rejected_rows, (SELECT count(*) FROM loaded) AS loaded_rows,
+       count(*) FILTER (WHERE ok) - (SELECT count(*) FROM loaded) AS duplicate_rows
+FROM tagged
+""")
+def w11_car_sales_job(t):
+    return jobs.car_sales_summary(t).drop("features", "r2", "rmse", "mae", "predictions")

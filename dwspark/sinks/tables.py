@@ -164,14 +164,14 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> DataFra
 
 # K8 ----------------------------------------------------------------------------------------------
 LOG_SCHEMA = ("log_id string, step string, component string, status string, table_name string, "
-              "etl_date timestamp, error_msg string")
+              "etl_date timestamp, error_msg string, batch_id string")
 
 
 def log_step(spark: SparkSession, path: str, step: str, component: str, status: str,
-             table_name: str | None = None, error_msg: str | None = None, at: datetime | None = None) -> None:
+             table_name: str | None = None, error_msg: str | None = None, at: datetime | None = None, batch_id: str | None = None) -> None:
     """Append one step-log row (``log_id`` is a new UUID)."""
     at = at or datetime.now(UTC).replace(tzinfo=None)
-    row = [(str(uuid.uuid4()), step, component, status, table_name, at, error_msg)]
+    row = [(str(uuid.uuid4()), step, component, status, table_name, at, error_msg, batch_id)]
     spark.createDataFrame(row, LOG_SCHEMA).write.mode("append").parquet(path)
 
 
