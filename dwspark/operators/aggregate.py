@@ -23,15 +23,17 @@ def item_summary(
     quantity_col: str,
     amount_col: str,
     prefix: str = "",
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Per header row: ``min(product)``, ``sum(quantity)``, ``sum(amount)`` and the weighted unit
-    price ``sum(amount) / sum(quantity)`` (null when the quantity sum is 0)."""
+    price ``sum(amount) / sum(quantity)`` (null when the quantity sum is 0), and ``extra`` aggregates."""
     qty, amt = F.sum(quantity_col), F.sum(amount_col)
     return detail.groupBy(group_col).agg(
         F.min(product_col).alias(f"{prefix}product_id"),
         qty.alias(f"{prefix}quantity"),
         safe_divide(amt, qty).alias(f"{prefix}unit_price"),
         amt.alias(f"{prefix}subtotal"),
+        *extra,
     )
 
 

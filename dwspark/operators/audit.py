@@ -19,6 +19,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwspark.operators.joins import latest_previous
+
 RUNNING, SUCCEEDED, FAILED = "RUNNING", "SUCCEEDED", "FAILED"
 RUN_SCHEMA = "run_id string, status string, event_ts timestamp, duration_seconds double, error_message string"
 CHANGE_COLUMNS = ["table_name", "inserted_count", "updated_count", "deleted_count", "unchanged_count"]
@@ -81,9 +83,8 @@ class AuditLog:
         *succeeded* run (null when none) and the delta to it. Returns what was appended."""
         history = self._read("profiles", "run_id string, stage string, dataset_name string, row_count long")
         done = self.runs().where(F.col("status") == SUCCEEDED).select("run_id", "finished_at")
-        prev = (history.select("run_id", "stage", "dataset_name", "row_count").join(done, "run_id")
-                .groupBy("stage", "dataset_name").agg(F.max_by("row_count", "finished_at").alias("previous_row_count")))
-        out = profiles.select(*PROFILE_COLUMNS).join(prev, ["stage", "dataset_name"], "left").select(
+        earlier = history.select("run_id", "stage", "dataset_name", "row_count").join(done, "run_id").drop("run_id")
+        out = latest_previous(profiles.select(*PROFILE_COLUMNS), earlier, ["stage", "dataset_name"], "finished_at", "row_count", "previous_row_count").select(
             F.lit(run_id).alias("run_id"), *PROFILE_COLUMNS, "previous_row_count",
             (F.col("row_count") - F.col("previous_row_count")).alias("row_count_delta"),
         )

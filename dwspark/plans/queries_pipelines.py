@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dwspark.operators.joins import as_of, latest_previous
 from dwspark.plans import bank, car_sales
 from dwspark.plans import derive as d
 from dwspark.plans import etl, jobs
@@ -262,12 +263,23 @@ SELECT c_custkey, o.previous_total FROM customer LEFT JOIN (
   SELECT o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS previous_total FROM orders GROUP BY o_custkey) o ON o.o_custkey = c_custkey
 """)
 def j8_latest_previous_order(t):
-    from dwspark.operators.joins import latest_previous
-
     history = t["orders"].select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.struct("o_orderdate", "o_orderkey").alias("at"))
     return latest_previous(t["customer"].select("c_custkey"), history, ["c_custkey"], "at", "o_totalprice", "previous_total")
 
 
+@register("j8_as_of_order", """
+SELECT e.event_id, e.user_id, e.ts, o.o_orderkey AS last_orderkey, o.o_totalprice AS last_totalprice
+FROM events e ASOF LEFT JOIN (
+  SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS at, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice
+  FROM orders GROUP BY 1, 2) o ON e.user_id = o.o_custkey AND CAST(e.ts AS TIMESTAMP) >= o.at
+""")
+def j8_as_of_order(t):
+    orders = t["orders"].select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"), "o_orderkey", "o_totalprice")
+    events = t["events"].select("event_id", "user_id", "ts").withColumn("_at", F.col("ts").cast("timestamp_ntz"))
+    return as_of(events, orders, ["user_id"], "_at", "at", ["o_orderkey", "o_totalprice"], ["o_orderkey"]).select(
+        "event_id", "user_id", "ts", F.col("o_orderkey").alias("last_orderkey"), F.col("o_totalprice").alias("last_totalprice"))
+
+
 # The whole audited pipeline, shown by its summary ----------------------------------------------
 W12_TARGETS = {
     "education_status": "w10_education_status", "marital_status": "w10_marital_status",

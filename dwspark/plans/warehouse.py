@@ -103,18 +103,20 @@ def dim_products(t: Tables, brands: DataFrame | None = None) -> DataFrame:
 
 
 # W5 ----------------------------------------------------------------------------------------------
-def order_item_summary(t: Tables) -> DataFrame:
-    """A1 on lineitem: one row per order; money summed as exact decimals."""
+def order_item_summary(t: Tables, staff: bool = False) -> DataFrame:
+    """A1 on lineitem: one row per order; money summed as exact decimals. ``staff`` adds ``employee_id``, the first supplier of
+    the order's lines, in the same pass."""
     li = t["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_quantity", F.col("l_extendedprice").cast(MONEY).alias("amount")
+        "l_orderkey", "l_partkey", "l_quantity", F.col("l_extendedprice").cast(MONEY).alias("amount"), *(["l_suppkey"] if staff else [])
     )
-    s = item_summary(li, "l_orderkey", "l_partkey", "l_quantity", "amount")
+    s = item_summary(li, "l_orderkey", "l_partkey", "l_quantity", "amount", extra=[F.min("l_suppkey").alias("employee_id")] if staff else [])
     return s.select(
         F.col("l_orderkey").alias("order_id"),
         "product_id",
         "quantity",
         clean.safe_divide(F.col("subtotal").cast("double"), F.col("quantity")).alias("unit_price"),
         F.col("subtotal").cast(MONEY).alias("subtotal"),
+        *(["employee_id"] if staff else []),
     )
 
 
@@ -136,11 +138,9 @@ def fct_order(
     products = products if products is not None else _keys(t["part"], "p_partkey", "product")
     employees = employees if employees is not None else _keys(t["supplier"], "s_suppkey", "employee")
     o = t["orders"]
-    s = order_item_summary(t)
-    staff = t["lineitem"].groupBy(F.col("l_orderkey").alias("served_order")).agg(F.min("l_suppkey").alias("employee_id"))
+    s = order_item_summary(t, staff=True)
     fact = (
         o.join(s, o["o_orderkey"] == s["order_id"], "left")
-        .join(staff, o["o_orderkey"] == staff["served_order"], "left")
         .join(customers.select("nk_customer_id", "sk_customer_id"), F.col("o_custkey") == F.col("nk_customer_id"), "left")
         .join(employees.select("nk_employee_id", "sk_employee_id"), F.col("employee_id") == F.col("nk_employee_id"), "left")
         .join(products.select("nk_product_id", "sk_product_id"), F.col("product_id") == F.col("nk_product_id"), "left")

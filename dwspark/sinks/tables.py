@@ -162,6 +162,30 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> DataFra
     )
 
 
+def sync_layer(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, fmt: str = "parquet") -> DataFrame:
+    """K5: make the catalog tables ``<database>.<name>`` equal to the given frames, and report one row per table:
+    ``table_name, action, added, dropped, retyped, rows``. A table whose columns and types are unchanged keeps its definition and is
+    refreshed (``refreshed``); one whose source has drifted is rebuilt with the new columns (``rebuilt``); a missing one
+    is created. Column order alone is no drift."""
+    report = []
+    for name, df in tables.items():
+        table = f"{database}.{name}"
+        now = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        was = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields} if spark.catalog.tableExists(table) else None
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        added, dropped = sorted(set(now) - set(was or now)), sorted(set(was or ()) - set(now))
+        retyped = sorted(f"{c}: {was[c]} -> {now[c]}" for c in set(was or ()) & set(now) if was[c] != now[c])
+        if was and not (added or dropped or retyped):
+            counted.select(*[F.col(f"`{c}`") for c in spark.table(table).columns]).write.mode("overwrite").insertInto(table)
+            action = "refreshed"
+        else:
+            counted.write.mode("overwrite").format(fmt).saveAsTable(table)
+            action = "rebuilt" if was else "created"
+        report.append((name, action, added, dropped, retyped, int(seen.get["rows"])))
+    return spark.createDataFrame(report, "table_name string, action string, added array<string>, dropped array<string>, retyped array<string>, rows long")
+
+
 # K8 ----------------------------------------------------------------------------------------------
 LOG_SCHEMA = ("log_id string, step string, component string, status string, table_name string, "
               "etl_date timestamp, error_msg string, batch_id string")
