@@ -14,7 +14,8 @@ Defined results (column ``status``): ``linked``; ``no result``; ``orphan`` (a re
 ``repeated`` (a further call or result with an identifier already used, the first by position, then by
 content, counts); ``cycle`` (references that never resolve; no place in the order). References to unknown calls are
 an error of the arguments, not of the order. Null identifiers never link; null or invalid JSON arguments
-are not valid; unknown tools are not valid; empty tables give an empty result; other columns are ignored.
+are not valid, nor are numbers beyond a double's range and values nested more than MAX_NESTING deep; lone surrogates stay
+escaped; unknown tools are not valid; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from dwspark.llm.ranks import running_total
 from dwspark.llm.tables import save
 
+MAX_NESTING = 100
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -85,23 +87,53 @@ def schema_errors(value: Any, schema: dict, at: str = "$") -> list[str]:
 
 
 def canonical(value: Any) -> str:
-    """Canonical JSON: sorted keys, no blanks, whole floats as integers, text unescaped."""
+    """Canonical JSON: sorted keys, no blanks, text unescaped but for lone surrogates (no UTF-8 can hold them), and
+    the shortest form of every number: whole floats below 1e16 as integers, others as Python writes them."""
     def plain(x: Any) -> Any:
-        if isinstance(x, float) and x.is_integer():
+        if isinstance(x, float) and x.is_integer() and abs(x) < 1e16:
             return int(x)
         if isinstance(x, dict):
             return {k: plain(v) for k, v in x.items()}
         return [plain(v) for v in x] if isinstance(x, list) else x
 
-    return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return storable(json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+
+
+def storable(text: str) -> str:
+    """``text`` with lone surrogates as JSON escapes."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def nesting(value: Any) -> int:
+    """How deep lists and objects stand in each other."""
+    deepest, waiting = 0, [(value, 1)]
+    while waiting:
+        x, depth = waiting.pop()
+        if isinstance(x, (dict, list)):
+            deepest = max(deepest, depth)
+            waiting += [(v, depth + 1) for v in (x.values() if isinstance(x, dict) else x)]
+    return deepest
 
 
 def references(value: Any) -> set[str]:
-    if isinstance(value, dict):
-        if set(value) == {"$result"} and isinstance(value["$result"], str):
-            return {value["$result"]}
-        return set().union(*(references(v) for v in value.values()))
-    return set().union(*(references(v) for v in value)) if isinstance(value, list) else set()
+    found, waiting = set(), [value]
+    while waiting:
+        x = waiting.pop()
+        if isinstance(x, dict):
+            if set(x) == {"$result"} and isinstance(x["$result"], str):
+                found.add(storable(x["$result"]))
+            else:
+                waiting += x.values()
+        elif isinstance(x, list):
+            waiting += x
+    return found
+
+
+def _number(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError(text)  # JSON has no infinity
+    return value
 
 
 def _unlike_json(name: str):
@@ -111,12 +143,13 @@ def _unlike_json(name: str):
 def _checked(schemas: dict[str, dict]):
     def check(name: str | None, text: str | None) -> tuple[str | None, list[str], list[str]]:
         try:
-            value = json.loads(text or "", parse_constant=_unlike_json)
-            plain = canonical(value)
+            value = json.loads(text or "", parse_constant=_unlike_json, parse_float=_number)
         except (ValueError, RecursionError):
             return None, ["$: not JSON"], []
+        if nesting(value) > MAX_NESTING:
+            return None, ["$: nested too deeply"], []
         wrong = schema_errors(value, schemas[name]) if name in schemas else ["$: unknown tool"]
-        return plain, wrong, sorted(references(value))
+        return canonical(value), [storable(x) for x in wrong], sorted(references(value))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

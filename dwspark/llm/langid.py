@@ -41,7 +41,14 @@ TEMPER = 0.05  # trigrams overlap and depend on each other, so their evidence is
 COUNTRIES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "ie": "en", "au": "en",
              "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh", "kr": "ko"}
 
-SKIP = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*>", re.S | re.I)
+HIDDEN = r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)"
+SKIP = re.compile(HIDDEN + r"|<[^>]*+(?:>|(?P<open>\Z))", re.S | re.I)
+
+
+def without_markup(html: str) -> str:
+    """The text between the tags, in one pass. A ``<`` without a ``>`` anywhere after it is text."""
+    kept = lambda m: " " if m["open"] is None else re.sub(HIDDEN, " ", m[0], flags=re.S | re.I)
+    return SKIP.sub(kept, html)
 
 
 def _buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +98,7 @@ def _likelihoods(model: np.ndarray):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [entities.unescape(SKIP.sub(" ", x or "")) for x in part.column("html").to_pylist()]
+                texts = [entities.unescape(without_markup(x or "")) for x in part.column("html").to_pylist()]
                 data, offsets = column(pa.array(texts, pa.string()))
                 out = np.zeros((len(texts), table.shape[1]))
                 for i, j in chunks(offsets):
@@ -111,7 +118,7 @@ def _evidence(pages: DataFrame, languages: list[str]) -> DataFrame:
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1))
     known = F.array(*[F.lit(x) for x in languages])
-    declared = F.lower(F.regexp_extract(F.coalesce(F.col("html"), F.lit("")), r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([a-zA-Z]+)", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce(F.col("html"), F.lit("")), r"(?is)<html\b[^<>]*?\slang\s*=\s*[\"']?([a-zA-Z]+)", 1))
     segments = F.filter(F.transform(F.split(path, "/"), lambda x: F.split(x, "[-_]")[0]), lambda x: F.array_contains(known, x))
     country = F.coalesce(*[F.when(F.endswith(host, F.lit(f".{c}")), F.lit(x)) for c, x in COUNTRIES.items()], F.lit(""))
     value = lambda c: F.when(c == "", "none").when(F.array_contains(known, c), c).otherwise("other")

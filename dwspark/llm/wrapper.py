@@ -6,7 +6,8 @@ matched nodes wins. The reference is the largest page of the host's most frequen
 paths; pages without text only if there are no others). Over the host's pages, those of equal text counted once,
 a node whose own text is the same in at least half of them, and in two at least, is template; nodes with varying text are content slots. The
 content slot of the host is the deepest container that holds all varying, unlinked text outside boilerplate
-regions, but none below an article or main element; its blocks, in page order and without boilerplate regions, are the page's main text; template nodes inside the
+regions, but none below an article or main element (where these hold half of that text or more, what varies
+outside of them does not count); its blocks, in page order and without boilerplate regions, are the page's main text; template nodes inside the
 slot whose text stands in three different pages at least are left out, unless nothing else is there. A page whose alignment
 lacks that slot uses its own article or main element, or the deepest container of all its own text.
 
@@ -14,6 +15,9 @@ Only the reference trees and one slot number a host are joined to the pages, rea
 so that Spark broadcasts them while their files are small and otherwise joins by host. Counts by host are
 pre-aggregated, and no task holds a host's pages, so a hot host is no special case.
 
+Regions that are never main text are known by element, role, ``hidden`` and class or identifier: a name counts as a
+whole, only if all its words speak of such regions (see ``_condemned``). Markup is read in one pass in linear time.
+
 Defined results: null and empty markup gives an empty text; a null or broken address belongs to the host
 ''; repeated pages are extracted each; an empty table gives an empty result; other columns are ignored.
 """
@@ -47,22 +51,98 @@ WORDS = set("nav navbar navigation menu header footer sidebar aside ad ads adver
             "sponsor sponsored cookie cookies consent gdpr notice notices comment comments disqus reply replies respond share sharing social "
             "related recommended breadcrumb breadcrumbs pagination pager subscribe newsletter signup popup modal toolbar widget skip".split())
 
-MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+# Words that stand beside those in a class or identifier without changing what the region is.
+BESIDE = set("site page global main top bottom left right primary secondary sub inner outer mobile desktop list box bar slot item items wrap wrapper "
+             "container block section area region posts links link buttons button panel icons inline fixed sticky toggle content body form meta "
+             "count group holder placeholder unit zone module component js the".split())
+
+DEEPEST = 512  # blocks inside each other; further ones are not told apart, as in browsers
+
+# One pass: a quoted value begins after "=" and ends at its quote; a tag that never ends swallows the rest, as in browsers.
+MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=\"'/]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+INVISIBLE = re.compile(r"display\s*:\s*none", re.I)
+
+
+def _condemned(token: str) -> bool:
+    """Whether a class or identifier names a boilerplate region: it holds one of ``WORDS`` and no word that says something
+    else (``site-footer``, but not ``with-sidebar``, ``entry-header`` or ``share-price-table``)."""
+    words = [w for w in re.split(r"[_-]+|\d+", token) if w]
+    return any(w in WORDS for w in words) and all(w in WORDS or w in BESIDE for w in words)
 
 
 def _described(tag: str, attributes: str) -> tuple[str, bool]:
     """An element's label for the alignment, and whether it opens a boilerplate region."""
     if not attributes.strip():
         return tag, tag in BOILERPLATE
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    words = {w for k in ("class", "id") for w in re.split(r"[\s_-]+", found.get(k, "").lower())}
-    bad = tag in BOILERPLATE or bool(words & WORDS) or found.get("role", "").lower() in ROLES or bool(HIDDEN.search(attributes))
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    tokens = [x for k in ("class", "id") for x in found.get(k, "").lower().split()]
+    unseen = "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or INVISIBLE.search(found.get("style", ""))
+    bad = tag in BOILERPLATE or any(map(_condemned, tokens)) or found.get("role", "").strip().lower() in ROLES or bool(unseen)
     names = re.sub(r"\d+", "", found.get("class", "").strip().lower())
     return (f"{tag}.{names}" if names else tag), bad and tag not in ("html", "body", "article", "main")
 
 
+class Stack:
+    """The open elements and their block nodes, with how many of each name are open (in all, and in the run of inline
+    elements at the top), so that no tag has to look through elements that it does not close."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int]] = [("#", 0)]
+        self.count: dict[str, int] = {}
+        self.runs: list[dict[str, int]] = [{}]
+
+    @property
+    def node(self) -> int:
+        return self.open[-1][1]
+
+    def has(self, *tags: str) -> bool:
+        return any(self.count.get(t) for t in tags)
+
+    def push(self, tag: str, node: int) -> None:
+        self.open.append((tag, node))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag in INLINE:
+            self.runs[-1][tag] = self.runs[-1].get(tag, 0) + 1
+        else:
+            self.runs.append({})
+
+    def cut(self, depth: int) -> None:
+        """Close the elements from ``depth`` on."""
+        while len(self.open) > depth:
+            tag, _ = self.open.pop()
+            self.count[tag] -= 1
+            if tag in INLINE:
+                self.runs[-1][tag] -= 1
+            else:
+                self.runs.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag: an inline one ends nothing beyond the block it stands in, and one without a start ends nothing."""
+        if (self.runs[-1] if tag in INLINE else self.count).get(tag):
+            depth = len(self.open) - 1
+            while self.open[depth][0] != tag:
+                depth -= 1
+            self.cut(depth)
+
+    def make_room(self, tag: str) -> None:
+        """Elements that a start tag ends: an open paragraph with what is open in it, or an item of the same list or
+        row."""
+        targets, limits = CLOSES.get(tag, ()), CLOSE_LIMITS.get(tag, ())
+        if not self.has("p", *targets):
+            return
+        for d in range(len(self.open) - 1, 0, -1):
+            name = self.open[d][0]
+            if name == "p" or name in targets:
+                self.cut(d)
+                if self.open[d - 1][0] not in targets:
+                    return
+            elif name in limits or (name not in INLINE and name not in TEXT_BLOCKS and not targets):
+                return
+
+
 class Page:
     """Block elements of a page in page order, as parallel lists, and its blocks of text.
 
@@ -74,17 +154,17 @@ class Page:
         self._parse(markup)
 
     def _parse(self, markup: str) -> None:
-        stack: list[tuple[str, int]] = [("#", 0)]  # open elements and their block node
+        stack = Stack()
         text: list[str] = []
-        linked, links = 0, 0
-        at, size = 0, len(markup)
+        linked, at, size = 0, 0, len(markup)
+        too_deep: dict[str, int] = {}
 
         def flush() -> None:
             nonlocal linked
             if text:
                 joined = " ".join(entities.unescape("".join(text)).split())
                 if joined:
-                    self.blocks.append((stack[-1][1], joined, linked))
+                    self.blocks.append((stack.node, joined, linked))
                 text.clear()
             linked = 0
 
@@ -93,7 +173,7 @@ class Page:
             piece = markup[at:m.start()] if m else markup[at:]
             if piece:
                 text.append(piece)
-                linked += len(piece) if links else 0
+                linked += len(piece) if stack.has("a") else 0
             if not m:
                 break
             at = m.end()
@@ -101,55 +181,41 @@ class Page:
                 continue
             tag = m[2].lower()
             if m[1]:  # end tag
-                inline = tag in INLINE
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag or (inline and stack[d][0] not in INLINE)), 0)
-                if not inline:
+                if tag not in INLINE:
                     flush()
-                if depth and stack[depth][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[depth:])
-                    del stack[depth:]
+                if too_deep.get(tag):
+                    too_deep[tag] -= 1
+                else:
+                    stack.end(tag)
                 continue
             if tag == "br":
                 text.append(" ")
                 continue
             if tag in INLINE:
                 if tag not in VOID and not m[3].endswith("/"):
-                    stack.append((tag, stack[-1][1]))
-                    links += tag == "a"
+                    stack.push(tag, stack.node)
                 continue
             flush()
+            if tag not in RAW and tag not in VOID and len(stack.runs) > DEEPEST:
+                too_deep[tag] = too_deep.get(tag, 0) + 1
+                continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(markup, at)
                 at = end.end() if end else size
                 continue
             if tag in VOID:
                 continue
-            self._close(stack, tag)
-            links = sum(t == "a" for t, _ in stack)
+            stack.make_room(tag)
             label, bad = _described(tag, m[3])
-            up = stack[-1][1]
-            inside = any(t in ("article", "main") for t, _ in stack)
+            up = stack.node
+            inside = stack.has("article", "main")
             self.label.append(label)
             self.tag.append(tag)
             self.parent.append(up)
             self.bad.append(self.bad[up] or bad or (tag == "header" and not inside))
-            stack.append((tag, len(self.label) - 1))
+            stack.push(tag, len(self.label) - 1)
         flush()
 
-    @staticmethod
-    def _close(stack: list[tuple[str, int]], tag: str) -> None:
-        """Elements that a start tag ends: an open paragraph with what is open in it, or an item of the
-        same list or row."""
-        limits = CLOSE_LIMITS.get(tag, ())
-        targets = CLOSES.get(tag, ())
-        for d in range(len(stack) - 1, 0, -1):
-            if stack[d][0] == "p" or stack[d][0] in targets:
-                del stack[d:]
-                if stack[d - 1][0] not in targets:
-                    return
-            elif stack[d][0] in limits or (stack[d][0] not in INLINE and stack[d][0] not in TEXT_BLOCKS and not targets):
-                return
-
     def children(self) -> list[list[int]]:
         out: list[list[int]] = [[] for _ in self.label]
         for i, p in enumerate(self.parent):
@@ -336,9 +402,13 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for name, parents, tags, found in pdf[["host", "parents", "tags", "found"]].itertuples(index=False):
-            mass = [0] * len(parents)
+            mass, landmark = [0] * len(parents), []
+            for tag, p in zip(tags, parents):
+                landmark.append(tag in ("article", "main") or (p >= 0 and landmark[p]))
             for x in found if found is not None else ():
                 mass[x["ref"]] += x["mass"]
+            if 2 * sum(m for m, inside in zip(mass, landmark) if inside) >= sum(mass):  # what varies beside them is no article
+                mass = [m if inside else 0 for m, inside in zip(mass, landmark)]
             for i in range(len(parents) - 1, 0, -1):
                 mass[parents[i]] += mass[i]
             slot = lead(list(parents), list(tags), mass)
