@@ -1,6 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts become tokens (runs of letters and digits; a point or comma between digits stays inside a number).
+Texts become tokens (runs of letters and digits, parted by any other sign, curly quotes, long dashes and no-break blanks
+included; a point or comma between digits stays inside a number).
 Numbers, units right after a number, and names (capitalised words that do not begin a sentence; several
 in a row are one) become typed placeholders, all other tokens their lower-case form. Windows of 13 such
 tokens of every document are matched by hash with the windows of every benchmark item, so a question
@@ -56,6 +57,28 @@ IS_DIGIT[48:58] = True
 ENDS_SENTENCE = np.zeros(256, bool)
 ENDS_SENTENCE[[ord(c) for c in ".!?:;\n\""]] = True
 
+# Second bytes of the signs (no letters or digits) among U+00A0 to U+00BF that part words.
+SIGNS_C2 = np.zeros(256, bool)
+SIGNS_C2[[0xA0, 0xA1, 0xA7, 0xAB, 0xAD, 0xB6, 0xB7, 0xBB, 0xBF]] = True
+
+
+def _gaps(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes that part words, and bytes that end a sentence: ASCII other than letters and digits, the signs above, general
+    punctuation (U+2000 to U+206F: dashes, curly quotes, dots, blanks) and the wide blank, comma and stop of U+3000 to U+3002."""
+    gap, ends = IS_GAP[data], ENDS_SENTENCE[data]
+    two = np.flatnonzero((data[:-1] == 0xC2) & SIGNS_C2[data[1:]])
+    gap[two] = gap[two + 1] = True
+    if len(data) > 2:
+        general = (data[:-2] == 0xE2) & ((data[1:-1] == 0x80) | (data[1:-1] == 0x81))
+        wide = (data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (data[2:] <= 0x82)
+        three = np.flatnonzero(general | wide)
+        for k in range(3):
+            gap[three + k] = True
+        last = data[three + 2]
+        quote = (data[three] == 0xE2) & (data[three + 1] == 0x80) & ((last == 0x9C) | (last == 0x9D) | (last == 0xA6))
+        ends[three[quote | ((data[three] == 0xE3) & (last == 0x82))] + 2] = True
+    return gap, ends & gap
+
 
 def _unit_hashes() -> np.ndarray:
     data = np.frombuffer("".join(UNITS).encode(), np.uint8)
@@ -68,7 +91,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     and each text's first token; then the plain tokens' hashes, each text's first plain token, the plain
     place of each template token, and which plain tokens open a text or sentence. Without ``opening`` a text's first word opens no sentence."""
     digit = IS_DIGIT[data]
-    gap = IS_GAP[data]
+    gap, ends = _gaps(data)
     inner = np.flatnonzero((data == 46) | (data == 44))
     inner = inner[(inner > 0) & (inner < len(data) - 1)]
     inner = inner[digit[inner - 1] & digit[inner + 1] & ~np.isin(inner, offsets)]
@@ -87,7 +110,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray, opening: bool = True):
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     opens = np.zeros(n, bool)  # begins a text or a sentence
     opens[first[:-1][np.diff(first) > 0]] = opening
-    sentence = np.append(0, np.cumsum(ENDS_SENTENCE[data] & gap))
+    sentence = np.append(0, np.cumsum(ends))
     opens[1:] |= sentence[start[1:]] > sentence[end[:-1]]
     kind = np.zeros(n, np.int8)
     kind[digit[start]] = NUMBER

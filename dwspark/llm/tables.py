@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,21 +17,32 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
+_open: list[list[str]] = []  # paths of tables made inside each open scratch block
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the table read back. This cuts the
-    lineage: a lost executor costs a re-read of files, never a recomputation with other results."""
+    lineage: a lost executor costs a re-read of files, never a recomputation with other results. The files stay
+    until the folder is cleaned, or until the end of the :func:`scratch` block that they were made in."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(table: DataFrame) -> None:
-    """Delete the files of a table that :func:`save` returned and that nothing reads any more."""
-    spark = table.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`save` makes inside the block when it ends. What is to outlive them must be
+    written by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

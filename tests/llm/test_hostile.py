@@ -70,3 +70,30 @@ def test_tool_calls_with_odd_arguments(spark):
     assert rows["c7"].errors == ["$: unknown call \\ud800"]
     for r in rows.values():
         assert json.loads(r.json)["id"] == r.call_id
+
+
+@pytest.mark.parametrize("text", [
+    "then We counted the “red birds” over the old lake near our town every single spring", "We counted the red birds — over the old lake near our town every single spring",
+    "x\xa0We counted the\xa0red birds over the old lake near «our town» every single spring…", "We counted the red birds over the old lake near our town's every single spring"])
+def test_signs_beyond_ascii_part_words(spark, text):
+    from dwspark.llm import decontam
+
+    items = spark.createDataFrame([(7, "We counted the red birds over the old lake near our town every single spring")], "item_id long, text string")
+    found = decontam.matches(spark.createDataFrame([(1, text), (2, "é" + text.replace("red", "réd"))], "doc_id long, text string"), items).collect()
+    assert [r.doc_id for r in found] == ([1] if "'" not in text else [])
+
+
+def test_scratch_deletes_what_was_made_inside(spark):
+    from dwspark.llm import tables
+
+    before = tables.save(spark.range(3), "outer")
+    with tables.scratch(spark):
+        inner = tables.save(spark.range(4), "inner")
+        with tables.scratch(spark):
+            nested = tables.save(spark.range(5), "nested")
+        assert inner.count() == 4
+        with pytest.raises(Exception):
+            spark.read.parquet(*nested.inputFiles()).count()
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{tables.shared_folder(spark)}/llm/inner-*").count()
+    assert before.count() == 3

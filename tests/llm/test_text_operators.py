@@ -176,3 +176,25 @@ def test_repeats_edges(spark):
     assert got.pop(12)[1] == 1500
     assert got == want
     assert suffix.query(docs.limit(0)).count() == 0
+
+
+def test_planted_passages_of_many_words(spark):
+    """Passages of 56 to 120 words in two to forty documents: every byte of those of 400 bytes or more goes, those below
+    stay, and documents without one are left alone."""
+    import random
+
+    r = random.Random(9)
+    passages = [h.prose(500 + k, n) for k, n in enumerate((56, 58, 60, 62, 64, 70, 80, 90, 100, 120))]
+    rows, holds = [], {}
+    for k, passage in enumerate(passages):
+        for copy in range(40 if k == 5 else 2 + k % 3):
+            d = len(rows)
+            rows.append((d, h.prose(10_000 + d, r.randint(20, 120)) + "\n" + passage + "\n" + h.prose(20_000 + d, r.randint(20, 120))))
+            holds[d] = len(passage.encode())
+    rows += [(len(rows) + i, h.prose(30_000 + i, 200)) for i in range(60)]
+    got = {x["doc_id"]: tuple(x)[1:5] for x in suffix.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == h.repeats(rows)
+    for d, _ in rows:
+        n = got[d][1]
+        assert n >= holds[d] if holds.get(d, 0) >= 400 else n == 0 or holds.get(d, 0) >= 396  # line ends may complete 400 bytes
+    assert {holds[d] >= 400 for d in holds} == {True, False}
