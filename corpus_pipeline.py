@@ -1,22 +1,22 @@
 """Corpus pipeline: quality rules, near-duplicates, benchmark decontamination, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in
-the shared folder and reads it again as the next stage's documents. All stages but the last return the
-columns of ``documents``.
+the shared folder and reads it again as the next stage's documents; the tables that a stage made on the way are deleted
+once its result is written (their results stay, as the last stage reads lazily). All stages but the last return the columns of ``documents``.
 
-A document that the mix uses twice must stay one document for what follows, so the mixing stage keeps
-each selected document once, at the place of its first use; how often it is used is the mix's digest
-(``op9``). The last stage adds the shard and slot of every document.
+The mixing stage keeps each selected document as often as the mix uses it (its identifier then repeats). The last
+stage adds the shard and slot of every document.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dwspark.llm import decontam, mixing, neardup, quality, shards
-from dwspark.llm.tables import read, save
+from dwspark.llm.tables import read, scratch, shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark):
+            path = f"{shared_folder(spark)}/pipeline/{name}-{uuid.uuid4().hex[:12]}"
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

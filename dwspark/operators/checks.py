@@ -89,6 +89,19 @@ DEFAULT_RULES = (
     Rule("date_invalid_count", "Medium", "`{table}.{column}` has {value} values that do not match the expected date format.",
          "Parse dates with one agreed format at ingestion and reject the rest with a reason."),
 )
+# Findings of the price and movement rules (Q17, Q18), which say out of how many rows.
+BUSINESS_RULES = (
+    Rule("negative_unit_price_count", "High", "`{table}.{column}` is negative in {value} of {total} rows.",
+         "Correct or reject negative selling prices before they reach reports."),
+    Rule("negative_cost_price_count", "High", "`{table}.{column}` is negative in {value} of {total} rows.",
+         "Correct or reject negative costs before margins are computed."),
+    Rule("cost_greater_than_unit_count", "High", "`{table}.{column}` is above the selling price in {value} of {total} rows.",
+         "Check these products: either the price or the cost is wrong, or they sell at a loss on purpose and should say so."),
+    Rule("damaged_or_expired_positive_count", "Medium", "`{table}.{column}` raises stock for damaged or expired goods in {value} of {total} rows.",
+         "Fix the sign rule of stock movements by reason and enforce it at ingestion."),
+    Rule("restock_negative_count", "Medium", "`{table}.{column}` lowers stock for restocked goods in {value} of {total} rows.",
+         "Fix the sign rule of stock movements by reason and enforce it at ingestion."),
+)
 ALWAYS = Rule("always", "Medium", "Quality rules are not enforced by the schema.",
               "Add ingestion checks for allowed categories, numeric typing, non-negative amounts and date formats.")
 
@@ -119,10 +132,18 @@ def findings_from_checks(
     return union_all(parts)
 
 
+def business_findings(counts: DataFrame, table: str, columns: Mapping[str, str], total: str = "total") -> DataFrame:
+    """``(table_name, column_name, metric, value, total)`` from a one-row result of Q17 or Q18 that has its number of rows
+    in ``total``; ``columns`` says which column each count is about."""
+    entries = [F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(m).alias("value"),
+                        F.col(total).alias("total")) for m, c in columns.items()]
+    return counts.select(F.inline(F.array(*entries)))
+
+
 def recommendations(spark: SparkSession, findings: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, always: Rule | None = ALWAYS) -> DataFrame:
     """Apply the rule table to the metrics: ``(priority, table_name, column_name, finding,
     recommendation)``, High before Medium/Low, then by table and column. The rule table is
-    config-sized and broadcast."""
+    config-sized and broadcast. A finding may also use ``{total}`` where the metrics have it."""
     schema = "metric string, priority string, finding string, recommendation string, r_table string, r_column string, threshold double"
     rule_df = spark.createDataFrame([(r.metric, r.priority, r.finding, r.recommendation, r.table, r.column, float(r.threshold)) for r in rules], schema)
     j = findings.join(F.broadcast(rule_df), "metric").where(
@@ -132,6 +153,8 @@ def recommendations(spark: SparkSession, findings: DataFrame, rules: Sequence[Ru
     )
     text = F.replace(F.replace(F.replace(F.col("finding"), F.lit("{table}"), F.col("table_name")),
                                F.lit("{column}"), F.col("column_name")), F.lit("{value}"), F.col("value").cast("string"))
+    if "total" in findings.columns:
+        text = F.replace(text, F.lit("{total}"), F.col("total").cast("string"))
     out = j.select("priority", "table_name", "column_name", text.alias("finding"), "recommendation")
     if always is not None:
         out = out.unionByName(spark.createDataFrame(

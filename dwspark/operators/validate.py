@@ -259,14 +259,14 @@ def unexpected_categorical(tables: Mapping[str, DataFrame], expected: Mapping[st
 
 
 # Q17 ---------------------------------------------------------------------------------------------
-def price_rules(df: DataFrame, unit_price: str, cost_price: str) -> DataFrame:
+def price_rules(df: DataFrame, unit_price: str, cost_price: str, total: str | None = None) -> DataFrame:
     """One row: negative unit prices, negative costs, and rows with cost above the unit price, all
-    on cleaned numbers."""
+    on cleaned numbers; ``total`` names a further column for the number of rows."""
     u, c = clean_number(F.col(unit_price)), clean_number(F.col(cost_price))
     return df.agg(
         F.count_if(u < 0).alias("negative_unit_price_count"),
         F.count_if(c < 0).alias("negative_cost_price_count"),
-        F.count_if(c > u).alias("cost_greater_than_unit_count"),
+        F.count_if(c > u).alias("cost_greater_than_unit_count"), *([F.count(F.lit(1)).alias(total)] if total else []),
     )
 
 
@@ -274,13 +274,14 @@ def price_rules(df: DataFrame, unit_price: str, cost_price: str) -> DataFrame:
 def direction_rules(
     df: DataFrame, reason: str, quantity: str,
     decrease_reasons: Sequence[str] = ("Damaged", "Expired"), increase_reasons: Sequence[str] = ("Restock",),
+    total: str | None = None,
 ) -> DataFrame:
     """One row: movements whose reason should lower stock but whose quantity is positive, and
-    movements whose reason should raise stock but whose quantity is negative."""
+    movements whose reason should raise stock but whose quantity is negative; ``total`` names a further column for the number of rows."""
     r, q = F.trim(F.col(reason).cast("string")), clean_number(F.col(quantity))
     return df.agg(
         F.count_if(r.isin(*decrease_reasons) & (q > 0)).alias("damaged_or_expired_positive_count"),
-        F.count_if(r.isin(*increase_reasons) & (q < 0)).alias("restock_negative_count"),
+        F.count_if(r.isin(*increase_reasons) & (q < 0)).alias("restock_negative_count"), *([F.count(F.lit(1)).alias(total)] if total else []),
     )
 
 

@@ -8,7 +8,7 @@ from dwspark.operators import checks, heavy_hitters, profile, validate
 from dwspark.operators.aggregate import union_all
 from dwspark.plans import derive
 from dwspark.plans import warehouse as wh
-from dwspark.plans.catalog import register
+from dwspark.plans.catalog import REGISTRY, register
 from dwspark.plans.driver_schema import DRIVER_COLUMNS, DRIVER_KEYS, DRIVER_NUMBERS
 
 ALL = list(DRIVER_COLUMNS)
@@ -556,3 +556,74 @@ def q22_recommendations(t):
     unexpected = validate.unexpected_categorical({n: t[n] for n in EXPECTED_VALUES}, EXPECTED_VALUES)
     f = checks.findings_from_checks(missing, dates, nums, negs, unexpected)
     return checks.recommendations(t["orders"].sparkSession, f)
+
+
+# Price and movement findings (Q17, Q18) as recommendations.
+PRICE_COLUMNS = {"negative_unit_price_count": "unit_price", "negative_cost_price_count": "cost_price", "cost_greater_than_unit_count": "cost_price"}
+MOVE_COLUMNS = {"damaged_or_expired_positive_count": "quantity_change", "restock_negative_count": "quantity_change"}
+
+
+def _business_sql() -> str:
+    parts = [f"SELECT 'products' AS table_name, '{c}' AS column_name, '{m}' AS metric, {m} AS value, (SELECT count(*) FROM part) AS total "
+             f"FROM ({REGISTRY['q17_price_rules'].sql})" for m, c in PRICE_COLUMNS.items()]
+    parts += [f"SELECT 'inventory_tracking', '{c}', '{m}', {m}, (SELECT count(*) FROM lineitem) FROM ({REGISTRY['q18_direction_rules'].sql})" for m, c in MOVE_COLUMNS.items()]
+    rules = ", ".join(f"({_sql_text(r.metric)}, {_sql_text(r.priority)}, {_sql_text(r.finding)}, {_sql_text(r.recommendation)})" for r in checks.BUSINESS_RULES)
+    return f"""
+WITH f AS ({" UNION ALL ".join(parts)}), r(metric, priority, finding, recommendation) AS (VALUES {rules})
+SELECT r.priority, f.table_name, f.column_name, replace(replace(replace(replace(r.finding, '{{table}}', f.table_name), '{{column}}', f.column_name),
+       '{{value}}', CAST(f.value AS VARCHAR)), '{{total}}', CAST(f.total AS VARCHAR)) AS finding, r.recommendation
+FROM f JOIN r ON r.metric = f.metric WHERE f.value > 0
+"""
+
+
+@register("q22_business_recommendations", _business_sql())
+def q22_business_recommendations(t):
+    li = t["lineitem"].select(
+        F.when(F.col("l_returnflag") == "R", "Restock").when(F.col("l_returnflag") == "A", "Damaged").otherwise("Expired").alias("reason"),
+        F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(-F.col("l_quantity")).cast("string").alias("quantity_change"))
+    prices = checks.business_findings(validate.price_rules(wh.products_source(t), "unit_price", "cost_price", total="total"), "products", PRICE_COLUMNS)
+    moves = checks.business_findings(validate.direction_rules(li, "reason", "quantity_change", total="total"), "inventory_tracking", MOVE_COLUMNS)
+    return checks.recommendations(t["part"].sparkSession, prices.unionByName(moves), checks.BUSINESS_RULES, always=None)
+
+
+# The nested quality report (Q19) as text with its entries in order, so that SQL can spell the same.
+def _quality_report_sql() -> str:
+    nums = _numeric_sql_one("lineitem", "price_text", NUM_SRC_LI) + " UNION ALL " + _numeric_sql_one("customer", "balance_text", NUM_SRC_CU)
+    negs = _negative_sql_one("customer", "c_acctbal", "customer") + " UNION ALL " + _negative_sql_one("supplier", "s_acctbal", "supplier", allow=True)
+    listed = lambda *v: f"string_agg(column_name || ':' || {' || chr(47) || '.join(f'CAST({x} AS VARCHAR)' for x in v)}, ',' ORDER BY column_name)"
+    per = lambda cte, name, *v: (f"{name} AS (SELECT table_name, {listed('status')} AS {name}_validity, {listed(*v)} AS {name}_details FROM {cte} GROUP BY 1)")
+    return f"""
+WITH d AS ({_dates_sql()}), n AS ({nums}), g AS ({negs}), m AS ({_missing_sql()}),
+base AS (SELECT table_name, {listed('missing_count')} AS missing_values, {listed('blank_like_count')} AS blank_like_values FROM m GROUP BY 1),
+{per('d', 'dates', 'total_checked', 'invalid_count', 'invalid_examples')},
+{per('n', 'numbers', 'total_checked', 'invalid_count', 'recoverable_after_cleaning_count', 'unrecoverable_count', 'unrecoverable_examples')},
+{per('g', 'negatives', 'total_checked', 'negative_count', 'negative_examples')}
+SELECT * FROM base LEFT JOIN dates USING (table_name) LEFT JOIN numbers USING (table_name) LEFT JOIN negatives USING (table_name)
+"""
+
+
+@register("q19_quality_report_text", _quality_report_sql())
+def q19_quality_report_text(t):
+    report = checks.quality_report(*_checks(t))
+
+    def listed(entries, *show):
+        shown = lambda e: F.concat(e["key"], F.lit(":"), F.concat_ws("/", *[s(e["value"]) for s in show]))
+        return F.array_join(F.transform(F.array_sort(F.map_entries(entries)), shown), ",")
+
+    def of(*names):
+        def text(name):
+            if name == "negative_examples":
+                return lambda v: F.array_join(F.transform(v[name], lambda x: x.cast("decimal(18,2)").cast("string")), "|")
+            return (lambda v: F.array_join(v[name], "|")) if name.endswith("examples") else (lambda v: v[name].cast("string"))
+        return [text(n) for n in names]
+
+    plain = lambda v: v.cast("string")
+    return report.select(
+        "table_name", listed("missing_values", plain).alias("missing_values"), listed("blank_like_values", plain).alias("blank_like_values"),
+        listed("date_validity", plain).alias("dates_validity"),
+        listed("date_validity_details", *of("total_checked", "invalid_count", "invalid_examples")).alias("dates_details"),
+        listed("numeric_validity", plain).alias("numbers_validity"),
+        listed("numeric_validity_details", *of("total_checked", "invalid_count", "recoverable_after_cleaning_count", "unrecoverable_count",
+                                               "unrecoverable_examples")).alias("numbers_details"),
+        listed("negative_validity", plain).alias("negatives_validity"),
+        listed("negative_validity_details", *of("total_checked", "negative_count", "negative_examples")).alias("negatives_details"))
