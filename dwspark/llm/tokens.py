@@ -33,7 +33,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,7 +132,10 @@ def batches(texts: Sequence[str], sizes: Sequence[int], piece_bytes: int, batch_
 def token_counts(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text", path: str | None = None,
                  piece_bytes: int = PIECE_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The ``keys`` of each row with ``n_bytes`` and ``n_tokens`` of its text."""
-    path = path or public_tokenizers.path(VOCABULARY)
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(*[F.col(k) for k in keys], F.col(text).cast("string").alias("_text"))
